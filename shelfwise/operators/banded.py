@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from shelfwise.functions.classify import first_match
 from shelfwise.functions.numbers import exact, percent_of
 from shelfwise.operators.rules import BAND_ORDER, fetch_rules, select_rules
-from shelfwise.types import COST, PERCENT, RULE_PRICE
+from shelfwise.sources.seeds import rows_to_df
+from shelfwise.types import COST, MULTIPLIER, PERCENT, RULE_PRICE
 
 # Floor over unit cost, and signals of inputs that do not carry them.
 FLOOR_FACTOR = "1.05"
@@ -62,7 +63,8 @@ def measured_signals(df: DataFrame) -> DataFrame:
 def _bound(rule: Row, side: str) -> Column:
     if rule[side] is None:
         raise ValueError(f"rule {rule['rule_name']!r}: {rule['condition_operator']} needs {side}")
-    return exact(rule[side])
+    value = rule[side]
+    return F.lit(int(value)) if value == int(value) else exact(value)
 
 
 # Which operand an operator reads; the other one holds a dummy and is ignored.
@@ -105,18 +107,24 @@ def _price_column(rule_name: str) -> str:
     return f"price_{rule_name.lower()}"
 
 
+def rule_multiplier(bands: Sequence[Row]) -> Column:
+    """Multiplier of the first matching band, 1 where none matches."""
+    return first_match(
+        [(band_condition(r), exact(r["price_multiplier"]).cast(MULTIPLIER)) for r in bands],
+        exact(1).cast(MULTIPLIER),
+    )
+
+
 def rule_prices(df: DataFrame, bands: dict[str, list[Row]]) -> DataFrame:
-    """Add one ``price_<rule>`` column per rule; where no band matches, the price stays."""
+    """Add one ``price_<rule>`` column per rule; where no band matches, the price stays.
+
+    A rule multiplies once, after its band is found. That keeps the generated code
+    of all rules together within what the JVM compiles.
+    """
     price = F.col("original_price")
     return df.withColumns(
         {
-            _price_column(name): first_match(
-                [
-                    (band_condition(r), (price * exact(r["price_multiplier"])).cast(RULE_PRICE))
-                    for r in rows
-                ],
-                price.cast(RULE_PRICE),
-            )
+            _price_column(name): (price * rule_multiplier(rows)).cast(RULE_PRICE)
             for name, rows in bands.items()
         }
     )
@@ -191,9 +199,9 @@ def rule_usage(
             ]
         ).alias("counts")
     ).select(F.inline("counts"))
-    ordered = select_rules(rules, rule_names).withColumn(
-        "evaluation_order",
-        F.row_number().over(Window.partitionBy("rule_name").orderBy(*BAND_ORDER)),
+    ordered = rows_to_df(
+        df.sparkSession,
+        [(*row, i) for rows in grouped.values() for i, row in enumerate(rows, 1)],
+        select_rules(rules).withColumn("evaluation_order", F.lit(0)).schema,
     )
     return ordered.join(counts, ["rule_name", "evaluation_order"], "left").orderBy(*BAND_ORDER)
-

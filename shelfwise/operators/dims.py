@@ -40,7 +40,7 @@ def category_members(retail_a: DataFrame, retail_b: DataFrame) -> DataFrame:
 
 
 def dim_category(members: DataFrame) -> DataFrame:
-    return number_members(members, "category_key", ["category_name"], "dim_category").select(
+    return number_members(members, "category_key", ["category_name"]).select(
         "category_key",
         "category_name",
         _null("string").alias("parent_category"),
@@ -53,7 +53,7 @@ def brand_members(retail_a: DataFrame, retail_b: DataFrame) -> DataFrame:
 
 
 def dim_brand(members: DataFrame) -> DataFrame:
-    return number_members(members, "brand_key", ["brand_name"], "dim_brand").select(
+    return number_members(members, "brand_key", ["brand_name"]).select(
         "brand_key",
         "brand_name",
         _null("string").alias("brand_type"),
@@ -67,7 +67,7 @@ def season_members(retail_a: DataFrame, retail_b: DataFrame) -> DataFrame:
 
 def dim_season(members: DataFrame) -> DataFrame:
     name = F.col("season_name")
-    return number_members(members, "season_key", ["season_name"], "dim_season").select(
+    return number_members(members, "season_key", ["season_name"]).select(
         "season_key",
         "season_name",
         classify.season_month(name, 0).alias("start_month"),
@@ -86,7 +86,7 @@ def markdown_members(retail_a: DataFrame, retail_b: DataFrame) -> DataFrame:
 
 def dim_markdown(members: DataFrame) -> DataFrame:
     pct = F.col("markdown_percentage")
-    return number_members(members, "markdown_key", ["markdown_percentage"], "dim_markdown").select(
+    return number_members(members, "markdown_key", ["markdown_percentage"]).select(
         "markdown_key",
         "markdown_percentage",
         classify.markdown_type(pct).alias("markdown_type"),
@@ -106,8 +106,7 @@ def rating_members(retail_a: DataFrame, retail_b: DataFrame) -> DataFrame:
 
 def dim_customer_rating(members: DataFrame) -> DataFrame:
     return number_members(
-        members, "customer_rating_key", ["customer_rating"], "dim_customer_rating"
-    ).select(
+        members, "customer_rating_key", ["customer_rating"]).select(
         "customer_rating_key",
         "customer_rating",
         classify.rating_category(F.col("customer_rating")).alias("rating_category"),
@@ -122,7 +121,7 @@ def promotion_members(retail_a: DataFrame) -> DataFrame:
 
 def dim_promotion(members: DataFrame) -> DataFrame:
     """One row per promotion type, so that facts joined on it keep their rows."""
-    return number_members(members, "promotion_key", ["promotion_type"], "dim_promotion").select(
+    return number_members(members, "promotion_key", ["promotion_type"]).select(
         "promotion_key",
         F.col("promotion_type").alias("promotion_name"),
         "promotion_type",
@@ -201,7 +200,7 @@ def dim_product(
 ) -> DataFrame:
     """Product master with category, brand and price class; cost is a share of price.
     Attributes without a source stay NULL."""
-    numbered = number_members(members, "product_key", PRODUCT_COLUMNS, "dim_product")
+    numbered = number_members(members, "product_key", PRODUCT_COLUMNS)
     with_category = lookup(
         numbered, F.col("category"), category, "category_name", "category_key"
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -20,7 +21,6 @@ def number_members(
     members: DataFrame,
     key: str,
     order_by: Sequence[str],
-    name: str,
     one_sort_rows: int = ONE_SORT_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
@@ -43,7 +43,7 @@ def number_members(
         members.repartitionByRange(slices, *ordering).withColumn(
             "_slice", F.spark_partition_id()
         ),
-        f"{name}_slices",
+        f"slices/{key}-{uuid.uuid4().hex[:8]}",
     )
     # One row per slice.
     starts = (

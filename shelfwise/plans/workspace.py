@@ -1,34 +1,49 @@
-"""One data set's inputs, staged base table and dimensions within a session."""
+"""One data set's inputs, staged base table and staged dimensions within a session."""
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.operators import dims
-from shelfwise.sinks.staging import stage
+from shelfwise.sinks.staging import spread, stage
 from shelfwise.sources import retail, seeds
 
 # Load date of facts, so that the same input always gives the same facts.
 AS_OF = dt.datetime(2025, 6, 30)
 
+FACT_DIMS = (
+    "dim_category", "dim_brand", "dim_season", "dim_markdown", "dim_price_range",
+    "dim_stock_level", "dim_customer_rating", "dim_promotion",
+)
+
 
 class Workspace:
     """Tables of one input folder.
 
-    The joined base and the members of each dimension are staged on first use
-    and shared by everything after it: the wide join and each distinct run once
-    per session, and facts then only scan the base and broadcast stored dimensions.
+    The joined base and the dimensions are staged on first use and shared by
+    everything after it: the wide join and each distinct run once per session, and
+    facts then only scan the base and broadcast stored dimensions.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, as_of: dt.datetime = AS_OF):
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        as_of: dt.datetime = AS_OF,
+        base: DataFrame | None = None,
+    ):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.as_of = as_of
-        self._tag = hashlib.md5(self.folder.encode()).hexdigest()[:12]
+        self._base = base
+        self._tag = f"{hashlib.md5(self.folder.encode()).hexdigest()[:8]}-{uuid.uuid4().hex[:8]}"
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -36,65 +51,73 @@ class Workspace:
     def _staged(self, df: DataFrame, name: str, **options) -> DataFrame:
         return stage(df, f"{self._tag}/{name}", **options)
 
+    def _dimension(
+        self, name: str, members: DataFrame, build: Callable[..., DataFrame], *args
+    ) -> DataFrame:
+        stored = self._staged(members, f"{name}_members")
+        return self._staged(build(stored, *args), name)
+
     @cached_property
     def base(self) -> DataFrame:
+        if self._base is not None:
+            return self._base
         joined = retail.retail_base(
-            self.table("lineitem"), self.table("part"), self.table("orders")
+            spread(self.table("lineitem")), self.table("part"), self.table("orders")
         )
         return self._staged(joined, "retail_base", partition_by=["source"])
 
-    @property
+    @cached_property
     def retail_a(self) -> DataFrame:
         return retail.retail_a(self.base)
 
-    @property
+    @cached_property
     def retail_b(self) -> DataFrame:
         return retail.retail_b(self.base)
 
     @cached_property
     def dim_category(self) -> DataFrame:
         members = dims.category_members(self.retail_a, self.retail_b)
-        return dims.dim_category(self._staged(members, "category"))
+        return self._dimension("dim_category", members, dims.dim_category)
 
     @cached_property
     def dim_brand(self) -> DataFrame:
         members = dims.brand_members(self.retail_a, self.retail_b)
-        return dims.dim_brand(self._staged(members, "brand"))
+        return self._dimension("dim_brand", members, dims.dim_brand)
 
     @cached_property
     def dim_season(self) -> DataFrame:
         members = dims.season_members(self.retail_a, self.retail_b)
-        return dims.dim_season(self._staged(members, "season"))
+        return self._dimension("dim_season", members, dims.dim_season)
 
     @cached_property
     def dim_markdown(self) -> DataFrame:
         members = dims.markdown_members(self.retail_a, self.retail_b)
-        return dims.dim_markdown(self._staged(members, "markdown"))
+        return self._dimension("dim_markdown", members, dims.dim_markdown)
 
     @cached_property
     def dim_customer_rating(self) -> DataFrame:
         members = dims.rating_members(self.retail_a, self.retail_b)
-        return dims.dim_customer_rating(self._staged(members, "customer_rating"))
+        return self._dimension("dim_customer_rating", members, dims.dim_customer_rating)
 
     @cached_property
     def dim_promotion(self) -> DataFrame:
         members = dims.promotion_members(self.retail_a)
-        return dims.dim_promotion(self._staged(members, "promotion"))
+        return self._dimension("dim_promotion", members, dims.dim_promotion)
 
     @cached_property
     def dim_product(self) -> DataFrame:
         members = dims.product_members(retail.products(self.table("part")))
-        return dims.dim_product(
-            self._staged(members, "product"), self.dim_category, self.dim_brand, self.as_of
+        return self._dimension(
+            "dim_product", members, dims.dim_product, self.dim_category, self.dim_brand, self.as_of
         )
 
-    @property
+    @cached_property
     def dim_customer(self) -> DataFrame:
         return dims.dim_customer(
             retail.customers(self.table("customer"), self.table("nation"), self.table("region"))
         )
 
-    @property
+    @cached_property
     def dim_date(self) -> DataFrame:
         return dims.dim_date_of(self.table("orders"), "o_orderdate")
 
@@ -116,12 +139,11 @@ class Workspace:
 
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
-        """The dimensions that facts refer to."""
-        names = (
-            "dim_category", "dim_brand", "dim_season", "dim_markdown", "dim_price_range",
-            "dim_stock_level", "dim_customer_rating", "dim_promotion",
-        )
-        return {name: getattr(self, name) for name in names}
+        """The dimensions that facts refer to. Those taken from the data are built
+        side by side, so that their small jobs fill the cluster together."""
+        self.retail_a, self.retail_b
+        with ThreadPoolExecutor(len(FACT_DIMS)) as pool:
+            return dict(zip(FACT_DIMS, pool.map(lambda name: getattr(self, name), FACT_DIMS)))
 
 
 _open: dict[tuple[str, str], Workspace] = {}

@@ -43,3 +43,12 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the session has cores, over all of them.
+
+    Input with enough splits is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 PRICE = T.DecimalType(10, 2)
 VALUE = T.DecimalType(12, 2)
 RATING = T.DecimalType(3, 2)
-RULE_PRICE = T.DecimalType(18, 6)
+MULTIPLIER = T.DecimalType(7, 4)
+RULE_PRICE = T.DecimalType(18, 6)  # type of PRICE * MULTIPLIER
 COST = T.DecimalType(12, 4)
 BASELINE_PRICE = T.DecimalType(14, 4)
 AMOUNT = T.DecimalType(20, 2)
