@@ -23,6 +23,12 @@ from shelfwise.session import builder
 
 RUNS = 3
 
+# Queries whose result is kept for others.
+STAGED = (
+    "dim_category", "dim_brand", "dim_season", "dim_markdown", "dim_customer_rating",
+    "dim_promotion",
+)
+
 
 def run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
@@ -58,9 +64,15 @@ def main() -> None:
         "stage_dims": median_seconds(lambda: Workspace(spark, folder, base=shared.base).dims),
     }
     for name, query in queries().items():
-        if not chosen or name in chosen:
+        if chosen and name not in chosen:
+            continue
+        if name in STAGED:
+            # Built anew each time; the queries after it find it stored.
+            built = lambda: getattr(Workspace(spark, folder, base=shared.base), name)
+            seconds[name] = median_seconds(built)
+        else:
             seconds[name] = median_seconds(lambda: run(query(spark, folder)))
-            print(f"{name}: {seconds[name]:.3f}", file=sys.stderr)
+        print(f"{name}: {seconds[name]:.3f}", file=sys.stderr)
 
     print(
         json.dumps(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -43,7 +42,7 @@ def number_members(
         members.repartitionByRange(slices, *ordering).withColumn(
             "_slice", F.spark_partition_id()
         ),
-        f"slices/{key}-{uuid.uuid4().hex[:8]}",
+        f"{key}_slices",
     )
     # One row per slice.
     starts = (

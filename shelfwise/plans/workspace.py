@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
@@ -43,19 +41,14 @@ class Workspace:
         self.folder = folder.rstrip("/")
         self.as_of = as_of
         self._base = base
-        self._tag = f"{hashlib.md5(self.folder.encode()).hexdigest()[:8]}-{uuid.uuid4().hex[:8]}"
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def _staged(self, df: DataFrame, name: str, **options) -> DataFrame:
-        return stage(df, f"{self._tag}/{name}", **options)
-
     def _dimension(
         self, name: str, members: DataFrame, build: Callable[..., DataFrame], *args
     ) -> DataFrame:
-        stored = self._staged(members, f"{name}_members")
-        return self._staged(build(stored, *args), name)
+        return stage(build(stage(members, f"{name}_members"), *args), name)
 
     @cached_property
     def base(self) -> DataFrame:
@@ -64,7 +57,7 @@ class Workspace:
         joined = retail.retail_base(
             spread(self.table("lineitem")), self.table("part"), self.table("orders")
         )
-        return self._staged(joined, "retail_base", partition_by=["source"])
+        return stage(joined, "retail_base", partition_by=["source"])
 
     @cached_property
     def retail_a(self) -> DataFrame:

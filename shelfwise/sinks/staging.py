@@ -7,6 +7,7 @@ outlive a lost executor, and Spark knows their size when it chooses joins.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 from functools import cache
 
@@ -30,15 +31,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` under the shared folder and return the table read back.
-
-    ``name`` is unique within the application; the application id keeps
-    applications apart.
-    """
+    """Write ``df`` to a place of its own under the shared folder and return the
+    table read back."""
     spark = df.sparkSession
     app = spark.conf.get("spark.app.id")
-    path = f"{shared_folder(spark)}/shelfwise/{app}/{name}"
-    writer = df.write.mode("overwrite")
+    path = f"{shared_folder(spark)}/shelfwise/{app}/{name}-{uuid.uuid4().hex}"
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import sys
+import tempfile
 import time
-from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -19,63 +18,55 @@ def duck(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _plain(value):
-    if isinstance(value, dt.datetime):
-        return value.replace(tzinfo=None)
-    return value
-
-
-def rows_of(names: list[str], rows) -> Counter:
-    order = sorted(range(len(names)), key=names.__getitem__)
-    return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
+SAME_TYPE = {
+    "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
 
 
 def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """What differs between a query's rows and its SQL's; None if nothing does."""
-    result = con.execute(sql)
-    names = [d[0] for d in result.description]
-    if sorted(names) != sorted(df.columns):
-        return f"columns {sorted(set(names) ^ set(df.columns))}"
-    kinds = dict(zip(names, (str(d[1]) for d in result.description)))
-    want = rows_of(names, result.fetchall())
-    got = rows_of(df.columns, df.collect())
-    if got != want:
-        return (
-            f"rows {sum(got.values())} vs {sum(want.values())}; "
-            f"only here {list((got - want).items())[:2]}; only there {list((want - got).items())[:2]}"
-        )
-    same = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
-            "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+    kinds = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if sorted(kinds) != sorted(df.columns):
+        return f"columns {sorted(set(kinds) ^ set(df.columns))}"
     types = {f.name: f.dataType.simpleString() for f in df.schema}
-    odd = {
-        c: (t, kinds[c]) for c, t in types.items()
-        if same.get(t, t.upper()).replace(" ", "") != kinds[c].replace(" ", "")
-    }
-    return f"types {odd}" if odd else None
+    odd = {c: (t, kinds[c]) for c, t in types.items() if SAME_TYPE.get(t, t.upper()) != kinds[c]}
+    if odd:
+        return f"types {odd}"
+    path = f"{tempfile.mkdtemp(prefix='compare-')}/rows"
+    df.write.parquet(path)
+    columns = ", ".join(f'"{c}"' for c in kinds)
+    con.execute(f"CREATE OR REPLACE TEMP TABLE want AS SELECT {columns} FROM ({sql})")
+    con.execute(f"CREATE OR REPLACE TEMP TABLE got AS SELECT {columns} FROM read_parquet('{path}/*.parquet')")
+    extra, missing = (
+        con.execute(f"SELECT * FROM {one} EXCEPT ALL SELECT * FROM {other} LIMIT 3").fetchall()
+        for one, other in (("got", "want"), ("want", "got"))
+    )
+    return f"only here {extra}; only there {missing}" if extra or missing else None
 
 
 def main(folder: str, chosen: list[str]) -> int:
     import __spark_entry__ as e
+    from shelfwise.session import builder
 
     spark = (
-        SparkSession.builder.master("local[8]")
+        builder("compare")
+        .master("local[8]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    con, sql, bad = duck(folder), e.oracle_sql(), 0
-    for name, query in e.queries().items():
-        if chosen and name not in chosen:
-            continue
+    con, sql = duck(folder), e.oracle_sql()
+    names = [n for n in e.queries() if not chosen or n in chosen]
+    bad = 0
+    for name in names:
         start = time.time()
-        try:
-            found = difference(query(spark, folder), con, sql[name])
-        except Exception as error:
-            found = f"{type(error).__name__}: {str(error)[:1500]}"
+        found = difference(e.queries()[name](spark, folder), con, sql[name])
         bad += found is not None
-        print(f"{'ok  ' if found is None else 'DIFF'} {name} {time.time() - start:.2f}s {found or ''}", flush=True)
+        print(f"{name}: {found or 'same'} ({time.time() - start:.1f} s)", flush=True)
+    print(f"{len(names)} queries, {bad} differ")
     return bad
 
 
