@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +10,11 @@ from pyspark.sql import functions as F
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table with its number of rows."""
+    spark = next(iter(tables.values())).sparkSession
     counts = [
-        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {{{name}}}" for name in tables
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return spark.sql(" UNION ALL ".join(counts), **tables)
 
 
 def member_usage(dim: DataFrame, key: str, facts: DataFrame) -> DataFrame:

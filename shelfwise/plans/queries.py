@@ -215,24 +215,20 @@ def product_trends(w: Workspace) -> DataFrame:
 # --- dimensions --------------------------------------------------------------------
 
 
-def _sales(w: Workspace) -> DataFrame:
-    return facts.fact_sales(w.retail_a, w.retail_b, w.dims, w.as_of)
-
-
 def dim_price_range(w: Workspace) -> DataFrame:
-    return quality.member_usage(w.dim_price_range, "price_range_key", _sales(w))
+    return quality.member_usage(w.dim_price_range, "price_range_key", w.fact_sales)
 
 
 def dim_stock_level(w: Workspace) -> DataFrame:
-    return quality.member_usage(w.dim_stock_level, "stock_level_key", _sales(w))
+    return quality.member_usage(w.dim_stock_level, "stock_level_key", w.fact_sales)
 
 
 def dim_store(w: Workspace) -> DataFrame:
-    return quality.member_usage(w.dim_store, "store_key", _sales(w))
+    return quality.member_usage(w.dim_store, "store_key", w.fact_sales)
 
 
 def dim_channel(w: Workspace) -> DataFrame:
-    return quality.member_usage(w.dim_channel, "channel_key", _sales(w))
+    return quality.member_usage(w.dim_channel, "channel_key", w.fact_sales)
 
 
 # --- lookups and classes row by row --------------------------------------------------
@@ -291,18 +287,6 @@ def feedback_bands(w: Workspace) -> DataFrame:
 # --- facts ---------------------------------------------------------------------------
 
 
-def fact_inventory(w: Workspace) -> DataFrame:
-    return facts.fact_inventory(w.retail_a, w.retail_b, w.dims, w.as_of)
-
-
-def fact_markdown_analytics(w: Workspace) -> DataFrame:
-    return facts.fact_markdown_analytics(w.retail_a, w.dims, w.as_of)
-
-
-def fact_customer_feedback(w: Workspace) -> DataFrame:
-    return facts.fact_customer_feedback(w.retail_b, w.dims, w.as_of)
-
-
 def fact_sales_profit(w: Workspace) -> DataFrame:
     return facts.fact_sales_profit(w.dim_product, w.as_of)
 
@@ -312,23 +296,17 @@ def fact_markdown_uplift(w: Workspace) -> DataFrame:
 
 
 def preview_fact_sales(w: Workspace) -> DataFrame:
-    sales = _sales(w)
+    sales = w.fact_sales
     return preview(sales, 20, [F.asc_nulls_first(c) for c in sales.columns])
 
 
 def load_row_counts(w: Workspace) -> DataFrame:
     tables = {"retail_a": w.retail_a, "retail_b": w.retail_b} | w.dims
-    tables |= {
-        name: getattr(w, name)
-        for name in ("dim_store", "dim_channel", "dim_date", "dim_customer", "dim_product")
-    }
-    tables |= {
-        "fact_sales": _sales(w),
-        "fact_inventory": fact_inventory(w),
-        "fact_markdown_analytics": fact_markdown_analytics(w),
-        "fact_customer_feedback": fact_customer_feedback(w),
-    }
-    return quality.row_counts(tables)
+    others = (
+        "dim_store", "dim_channel", "dim_date", "dim_customer", "dim_product", "fact_sales",
+        "fact_inventory", "fact_markdown_analytics", "fact_customer_feedback",
+    )
+    return quality.row_counts(tables | {name: getattr(w, name) for name in others})
 
 
 _PLANS: dict[str, Callable[[Workspace], DataFrame]] = {
@@ -371,10 +349,10 @@ _PLANS: dict[str, Callable[[Workspace], DataFrame]] = {
     "discount_type_map": discount_type_map,
     "rating_bands": rating_bands,
     "feedback_bands": feedback_bands,
-    "fact_sales": _sales,
-    "fact_inventory": fact_inventory,
-    "fact_markdown_analytics": fact_markdown_analytics,
-    "fact_customer_feedback": fact_customer_feedback,
+    "fact_sales": lambda w: w.fact_sales,
+    "fact_inventory": lambda w: w.fact_inventory,
+    "fact_markdown_analytics": lambda w: w.fact_markdown_analytics,
+    "fact_customer_feedback": lambda w: w.fact_customer_feedback,
     "fact_sales_profit": fact_sales_profit,
     "fact_markdown_uplift": fact_markdown_uplift,
     "preview_fact_sales": preview_fact_sales,

@@ -9,7 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.operators import dims
+from shelfwise.operators import dims, facts
 from shelfwise.sinks.staging import spread, stage
 from shelfwise.sources import retail, seeds
 
@@ -138,6 +138,22 @@ class Workspace:
         with ThreadPoolExecutor(len(FACT_DIMS)) as pool:
             return dict(zip(FACT_DIMS, pool.map(lambda name: getattr(self, name), FACT_DIMS)))
 
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        return facts.fact_sales(self.retail_a, self.retail_b, self.dims, self.as_of)
+
+    @cached_property
+    def fact_inventory(self) -> DataFrame:
+        return facts.fact_inventory(self.retail_a, self.retail_b, self.dims, self.as_of)
+
+    @cached_property
+    def fact_markdown_analytics(self) -> DataFrame:
+        return facts.fact_markdown_analytics(self.retail_a, self.dims, self.as_of)
+
+    @cached_property
+    def fact_customer_feedback(self) -> DataFrame:
+        return facts.fact_customer_feedback(self.retail_b, self.dims, self.as_of)
+
 
 _open: dict[tuple[str, str], Workspace] = {}
 
