@@ -2,8 +2,8 @@
 
 Everything is run once to warm up, then three times, of which the median counts.
 Queries run in full into a sink that discards rows, plan building included.
-``stage_*`` are the one-time costs that the queries share: writing the joined base
-table and the dimensions.
+``stage_*`` are the one-time costs that the queries share: writing the joined lines
+and the dimensions.
 """
 
 from __future__ import annotations
@@ -60,15 +60,15 @@ def main() -> None:
 
     shared = workspace(spark, folder)
     seconds = {
-        "stage_retail_base": median_seconds(lambda: Workspace(spark, folder).base),
-        "stage_dims": median_seconds(lambda: Workspace(spark, folder, base=shared.base).dims),
+        "stage_retail_lines": median_seconds(lambda: Workspace(spark, folder).lines),
+        "stage_dims": median_seconds(lambda: Workspace(spark, folder, lines=shared.lines).dims),
     }
     for name, query in queries().items():
         if chosen and name not in chosen:
             continue
         if name in STAGED:
             # Built anew each time; the queries after it find it stored.
-            built = lambda: getattr(Workspace(spark, folder, base=shared.base), name)
+            built = lambda: getattr(Workspace(spark, folder, lines=shared.lines), name)
             seconds[name] = median_seconds(built)
         else:
             seconds[name] = median_seconds(lambda: run(query(spark, folder)))

@@ -14,13 +14,13 @@ def exact(value: float | int | str | Decimal) -> Column:
     return F.lit(Decimal(str(value)))
 
 
-def percent_of(part: Column, whole: Column, digits: int, to: T.DecimalType) -> Column:
+def percent_of(part: Column, whole: Column, to: T.DecimalType) -> Column:
     """``part / whole * 100`` rounded half up; NULL where ``whole`` is zero or NULL.
 
-    The quotient is a DOUBLE: dividing DECIMALs would round it once more.
+    The quotient is a DOUBLE, as dividing DECIMALs would round it once more. The
+    cast rounds on its decimal digits, like ``round`` on a DOUBLE does.
     """
-    ratio = F.try_divide(part.cast("double"), whole.cast("double"))
-    return F.round(ratio * 100, digits).cast(to)
+    return (F.try_divide(part.cast("double"), whole.cast("double")) * 100).cast(to)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -31,10 +31,8 @@ NO_RULE_REASON = "NO_RULE"
 def _rates(units: str) -> dict[str, Column]:
     price = F.col("original_price")
     return {
-        "sell_through_rate": percent_of(F.col(units), F.col("stock_level"), 2, PERCENT),
-        "competitor_gap_pct": percent_of(
-            price - F.col("competitor_price"), price, 2, PERCENT
-        ),
+        "sell_through_rate": percent_of(F.col(units), F.col("stock_level"), PERCENT),
+        "competitor_gap_pct": percent_of(price - F.col("competitor_price"), price, PERCENT),
     }
 
 

@@ -17,7 +17,7 @@ def pricing_kpis(df: DataFrame, units: str) -> DataFrame:
     price, recommended, sold = F.col("original_price"), F.col("recommended_price"), F.col(units)
     return df.withColumns(
         {
-            "discount_pct_applied": percent_of(price - recommended, price, 1, PERCENT_ONE),
+            "discount_pct_applied": percent_of(price - recommended, price, PERCENT_ONE),
             "gross_amount": F.round(price * sold, 2).cast(AMOUNT),
             "net_amount": F.round(recommended * sold, 2).cast(AMOUNT),
         }

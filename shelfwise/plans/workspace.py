@@ -1,4 +1,4 @@
-"""One data set's inputs, staged base table and staged dimensions within a session."""
+"""One data set's inputs, staged lines and staged dimensions within a session."""
 
 from __future__ import annotations
 
@@ -25,9 +25,9 @@ FACT_DIMS = (
 class Workspace:
     """Tables of one input folder.
 
-    The joined base and the dimensions are staged on first use and shared by
+    The joined lines and the dimensions are staged on first use and shared by
     everything after it: the wide join and each distinct run once per session, and
-    facts then only scan the base and broadcast stored dimensions.
+    facts then only scan the lines and broadcast stored dimensions.
     """
 
     def __init__(
@@ -35,12 +35,12 @@ class Workspace:
         spark: SparkSession,
         folder: str,
         as_of: dt.datetime = AS_OF,
-        base: DataFrame | None = None,
+        lines: DataFrame | None = None,
     ):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.as_of = as_of
-        self._base = base
+        self._lines = lines
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -51,21 +51,22 @@ class Workspace:
         return stage(build(stage(members, f"{name}_members"), *args), name)
 
     @cached_property
-    def base(self) -> DataFrame:
-        if self._base is not None:
-            return self._base
-        joined = retail.retail_base(
+    def lines(self) -> DataFrame:
+        """Rows of both sources, stored in two parts so that each is read alone."""
+        if self._lines is not None:
+            return self._lines
+        base = retail.retail_base(
             spread(self.table("lineitem")), self.table("part"), self.table("orders")
         )
-        return stage(joined, "retail_base", partition_by=["source"])
+        return stage(retail.retail_lines(base), "retail_lines", partition_by=["source"])
 
     @cached_property
     def retail_a(self) -> DataFrame:
-        return retail.retail_a(self.base)
+        return retail.retail_a(self.lines)
 
     @cached_property
     def retail_b(self) -> DataFrame:
-        return retail.retail_b(self.base)
+        return retail.retail_b(self.lines)
 
     @cached_property
     def dim_category(self) -> DataFrame:

@@ -8,7 +8,7 @@ SETTINGS = {
     # Joins and shuffles are planned from sizes seen at run time; hot keys are split.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The base table is written in two halves; two open files per task spare a sort.
+    # The joined lines are written in two halves; two open files per task spare a sort.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
     # The JVM does not compile methods above 8000 bytes; split such stages instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",

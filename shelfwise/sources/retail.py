@@ -1,8 +1,9 @@
 """Retail inputs derived from order tables.
 
-``retail_base`` joins lineitem, part and orders once. ``retail_a`` (products with
-four trial markdowns and pricing signals) and ``retail_b`` (products with one
-current markdown and return data) are projections of its two halves.
+``retail_base`` joins lineitem, part and orders once and ``retail_lines`` derives the
+columns of both sources from it. ``retail_a`` (products with four trial markdowns and
+pricing signals) and ``retail_b`` (products with one current markdown and return data)
+are its two halves.
 """
 
 from __future__ import annotations
@@ -18,8 +19,7 @@ from shelfwise.types import COST, PRICE, RATING
 def retail_base(lineitem: DataFrame, part: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order line with its product and order attributes.
 
-    ``source`` is 'a' or 'b'; written partitioned by it, each half is read alone.
-    No join hints: sizes decide, and adaptive execution splits hot keys.
+    ``source`` is 'a' or 'b'. No join hints: sizes decide, and adaptive execution splits hot keys.
     """
     month = F.month("o_orderdate")
     priority = F.col("o_orderpriority")
@@ -76,60 +76,73 @@ def retail_base(lineitem: DataFrame, part: DataFrame, orders: DataFrame) -> Data
     )
 
 
-def retail_a(base: DataFrame) -> DataFrame:
-    """Half 'a': trial markdowns, sales after each, and pricing signals."""
+SHARED = (
+    "product_id", "category", "brand", "season", "original_price", "stock_level",
+    "customer_ratings",
+)
+ONLY_A = (
+    "competitor_price", "markdown_1", "markdown_2", "markdown_3", "markdown_4",
+    "historical_sales", "sales_after_m1", "sales_after_m2", "sales_after_m3", "sales_after_m4",
+    "optimal_discount", "promotion_type", "seasonality_factor", "return_rate", "days_in_stock",
+    "trend_score", "unit_cost",
+)
+ONLY_B = ("current_price", "markdown_percentage", "is_returned", "return_reason")
+
+
+def retail_lines(base: DataFrame) -> DataFrame:
+    """Both halves side by side, as they are stored: columns of the other half are
+    NULL, which takes no room in a column file and no work to compute."""
     order, supp, part, line = (
         F.col(c) for c in ("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber")
     )
-    markdowns = [
-        (F.col("disc") * (100 * i)).cast(PRICE).alias(f"markdown_{i}") for i in range(1, 5)
-    ]
-    shifts = (order % 3 - 1, supp % 5 - 2, line % 4 - 1, part % 7 - 3)
-    sales_after = [
-        (F.col("qty") + shift).cast("int").alias(f"sales_after_m{i}")
-        for i, shift in enumerate(shifts, 1)
-    ]
+    price, disc, qty = F.col("original_price"), F.col("disc"), F.col("qty")
     competitor = (80 + (order * 3 + supp) % 41).cast("decimal(5,0)")
-    return base.where(F.col("source") == "a").select(
-        "product_id", "category", "brand", "season", "original_price",
-        (F.col("original_price") * competitor * exact("0.01")).cast(PRICE).alias(
-            "competitor_price"
-        ),
-        *markdowns,
-        F.col("qty").alias("historical_sales"),
-        *sales_after,
-        (F.col("tax") * 100).cast(PRICE).alias("optimal_discount"),
-        "stock_level", "customer_ratings", "promotion_type", "seasonality_factor",
-        ((supp % 20).cast("decimal(2,0)") * exact("0.01")).cast(PRICE).alias("return_rate"),
-        ((order * 7 + line) % 45).cast("int").alias("days_in_stock"),
-        (part % 101).cast("int").alias("trend_score"),
-        (F.col("original_price") * exact("0.6")).cast(COST).alias("unit_cost"),
+    shifts = (order % 3 - 1, supp % 5 - 2, line % 4 - 1, part % 7 - 3)
+    of_a = {
+        "competitor_price": (price * competitor * exact("0.01")).cast(PRICE),
+        **{f"markdown_{i}": (disc * (100 * i)).cast(PRICE) for i in range(1, 5)},
+        "historical_sales": qty,
+        **{
+            f"sales_after_m{i}": (qty + shift).cast("int") for i, shift in enumerate(shifts, 1)
+        },
+        "optimal_discount": (F.col("tax") * 100).cast(PRICE),
+        "promotion_type": F.col("promotion_type"),
+        "seasonality_factor": F.col("seasonality_factor"),
+        "return_rate": ((supp % 20).cast("decimal(2,0)") * exact("0.01")).cast(PRICE),
+        "days_in_stock": ((order * 7 + line) % 45).cast("int"),
+        "trend_score": (part % 101).cast("int"),
+        "unit_cost": (price * exact("0.6")).cast(COST),
+    }
+    returned = F.col("l_returnflag") == "R"
+    reason = first_match(
+        [(line % 3 == 0, F.lit("Size Issue")), (line % 3 == 1, F.lit("Damaged"))],
+        F.lit("Changed Mind"),
+    )
+    of_b = {
+        "current_price": F.when(order % 10 != 0, (price * (1 - disc)).cast(PRICE)),
+        "markdown_percentage": (disc * 300).cast(PRICE),
+        "is_returned": F.when(returned, F.lit("true")).otherwise(F.lit("false")),
+        "return_reason": F.when(returned, reason),
+    }
+    source = F.col("source")
+    return base.select(
+        *SHARED,
+        *[F.when(source == "a", of_a[c]).alias(c) for c in ONLY_A],
+        *[F.when(source == "b", of_b[c]).alias(c) for c in ONLY_B],
+        "source",
     )
 
 
-def retail_b(base: DataFrame) -> DataFrame:
+def retail_a(lines: DataFrame) -> DataFrame:
+    """Half 'a': trial markdowns, sales after each, and pricing signals."""
+    return lines.where(F.col("source") == "a").select(*SHARED, *ONLY_A)
+
+
+def retail_b(lines: DataFrame) -> DataFrame:
     """Half 'b': one markdown, the current price where known, and returns."""
-    returned = F.col("l_returnflag") == "R"
-    return base.where(F.col("source") == "b").select(
-        "product_id", "category", "brand", "season", "original_price",
-        F.when(
-            F.col("l_orderkey") % 10 != 0,
-            (F.col("original_price") * (1 - F.col("disc"))).cast(PRICE),
-        ).alias("current_price"),
-        (F.col("disc") * 300).cast(PRICE).alias("markdown_percentage"),
-        F.col("stock_level").alias("stock_quantity"),
-        F.col("customer_ratings").alias("customer_rating"),
-        F.when(returned, F.lit("true")).otherwise(F.lit("false")).alias("is_returned"),
-        F.when(
-            returned,
-            first_match(
-                [
-                    (F.col("l_linenumber") % 3 == 0, F.lit("Size Issue")),
-                    (F.col("l_linenumber") % 3 == 1, F.lit("Damaged")),
-                ],
-                F.lit("Changed Mind"),
-            ),
-        ).alias("return_reason"),
+    renamed = {"stock_level": "stock_quantity", "customer_ratings": "customer_rating"}
+    return lines.where(F.col("source") == "b").select(
+        *[F.col(c).alias(renamed.get(c, c)) for c in SHARED], *ONLY_B
     )
 
 

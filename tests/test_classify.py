@@ -86,7 +86,7 @@ def test_range_lookup_is_a_range_join_for_any_cell_width(spark, cell):
 
 def test_percentages(spark):
     df = spark.createDataFrame([(29, 7), (1, 0), (None, 5), (5, None), (0, 5)], "a int, b int")
-    got = [r[0] for r in df.select(percent_of(F.col("a"), F.col("b"), 2, PERCENT)).collect()]
+    got = [r[0] for r in df.select(percent_of(F.col("a"), F.col("b"), PERCENT)).collect()]
     assert got == [Decimal("414.29"), None, None, None, Decimal("0.00")]
 
 
