@@ -26,7 +26,7 @@ RUNS = 3
 # Queries whose result is kept for others.
 STAGED = (
     "dim_category", "dim_brand", "dim_season", "dim_markdown", "dim_customer_rating",
-    "dim_promotion",
+    "dim_promotion", "dim_product",
 )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import banded, facts, priority
 from shelfwise.plans.queries import queries
-from shelfwise.sources import seeds
+from shelfwise.sources import retail, seeds
 from tests.conftest import FOLDER
 
 
@@ -61,6 +61,36 @@ def test_larger_dimensions_are_not_broadcast(spark, work):
     assert shuffled == sorted(map(str, small.collect()))
 
 
+def test_hot_keys_are_split(spark, work):
+    """A third of the lines on one product and a third on one order."""
+    lineitem, orders, part = (work.table(n) for n in ("lineitem", "orders", "part"))
+    line = F.col("l_linenumber")
+    hot = lineitem.withColumns(
+        {
+            "l_partkey": F.when(line <= 2, F.lit(2)).otherwise(F.col("l_partkey")),
+            "l_orderkey": F.when(line >= 6, F.lit(7)).otherwise(F.col("l_orderkey")),
+        }
+    ).repartition(8)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        base = retail.retail_base(hot, part, orders)
+        assert len(base.collect()) == lineitem.count()
+        final = plan(base).split("== Initial Plan ==")[0]
+        assert final.count("SortMergeJoin(skew=true)") == 2
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_scans_read_only_what_is_used(spark, work):
     text = plan(work.retail_a.select("category").distinct(), "extended")
     schema = re.findall(r"ReadSchema: struct<([^>]*)>", text)
