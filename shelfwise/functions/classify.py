@@ -6,6 +6,7 @@ last bound, and NULLs, get the label given as ``above``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -111,3 +112,8 @@ def markdown_effectiveness(before: Column, after_2: Column, after_4: Column) ->
 def date_key(day: Column) -> Column:
     """Date as a ``yyyyMMdd`` number."""
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("bigint")
+
+
+def moment(clock: dt.datetime) -> Column:
+    """A clock time as a literal; the same in every session time zone."""
+    return F.lit(clock.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -216,7 +216,7 @@ def dim_product(
         "price_range_key": classify.price_range_key(price),
         "base_price": price,
         "cost_price": price * exact(COST_SHARE),
-        "created_date": F.lit(as_of),
+        "created_date": classify.moment(as_of),
     }
     return keyed.select(
         [

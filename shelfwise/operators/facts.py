@@ -42,7 +42,7 @@ def _stamp(as_of: dt.datetime) -> dict[str, Column]:
     return {
         "product_key": F.lit(None),
         "date_key": classify.date_key(F.lit(as_of.date())),
-        "created_timestamp": F.lit(as_of),
+        "created_timestamp": classify.moment(as_of),
     }
 
 
@@ -237,7 +237,7 @@ def fact_sales_profit(dim_product: DataFrame, as_of: dt.datetime) -> DataFrame:
             "cost_price": F.col("cost_price"),
             "profit": selling - F.col("cost_price"),
             "payment_mode": F.lit(FLAT_PAYMENT_MODE),
-            "created_timestamp": F.lit(as_of),
+            "created_timestamp": classify.moment(as_of),
         },
     )
 

@@ -186,6 +186,16 @@ def test_fact_values(spark):
     }
 
 
+def test_load_time_does_not_depend_on_the_session_zone(spark):
+    a, b = retail(spark, [A], [B])
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = facts.fact_sales(a, b, all_dims(a, b, "zone"), NOW).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (found["created_timestamp"], found["date_key"]) == (NOW, 20250102)
+
+
 def test_dimensions_use_their_type_before_distinct(spark):
     a, b = retail(spark, [A, A], [B])
     loose = a.withColumn("customer_ratings", F.lit(4.001)).unionByName(
