@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,14 @@ def exact(value: float | int | str | Decimal) -> Column:
     return F.lit(Decimal(str(value)))
 
 
+def decimal_for(values: Iterable[float], whole: int, decimals: int) -> T.DecimalType:
+    """DECIMAL with ``whole`` digits before the point and at least ``decimals`` after it,
+    more if the values are written with more."""
+    written = [-Decimal(str(v)).as_tuple().exponent for v in values]
+    scale = max([decimals, *written])
+    return T.DecimalType(whole + scale, scale)
+
+
 def percent_of(part: Column, whole: Column, to: T.DecimalType) -> Column:
     """``part / whole * 100`` rounded half up; NULL where ``whole`` is zero or NULL.
 

@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from shelfwise.functions.classify import first_match
-from shelfwise.functions.numbers import exact, percent_of
+from shelfwise.functions.numbers import decimal_for, exact, percent_of
 from shelfwise.operators.rules import BAND_ORDER, fetch_rules, select_rules
 from shelfwise.sources.seeds import rows_to_df
-from shelfwise.types import COST, MULTIPLIER, PERCENT, RULE_PRICE
+from shelfwise.types import COST, PERCENT, RULE_PRICE
 
 # Floor over unit cost, and signals of inputs that do not carry them.
 FLOOR_FACTOR = "1.05"
@@ -107,9 +107,10 @@ def _price_column(rule_name: str) -> str:
 
 def rule_multiplier(bands: Sequence[Row]) -> Column:
     """Multiplier of the first matching band, 1 where none matches."""
+    kind = decimal_for([r["price_multiplier"] for r in bands], whole=3, decimals=4)
     return first_match(
-        [(band_condition(r), exact(r["price_multiplier"]).cast(MULTIPLIER)) for r in bands],
-        exact(1).cast(MULTIPLIER),
+        [(band_condition(r), exact(r["price_multiplier"]).cast(kind)) for r in bands],
+        exact(1).cast(kind),
     )
 
 

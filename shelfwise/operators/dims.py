@@ -105,8 +105,7 @@ def rating_members(retail_a: DataFrame, retail_b: DataFrame) -> DataFrame:
 
 
 def dim_customer_rating(members: DataFrame) -> DataFrame:
-    return number_members(
-        members, "customer_rating_key", ["customer_rating"]).select(
+    return number_members(members, "customer_rating_key", ["customer_rating"]).select(
         "customer_rating_key",
         "customer_rating",
         classify.rating_category(F.col("customer_rating")).alias("rating_category"),
@@ -114,9 +113,7 @@ def dim_customer_rating(members: DataFrame) -> DataFrame:
 
 
 def promotion_members(retail_a: DataFrame) -> DataFrame:
-    return (
-        retail_a.where(F.col("promotion_type").isNotNull()).select("promotion_type").distinct()
-    )
+    return retail_a.where(F.col("promotion_type").isNotNull()).select("promotion_type").distinct()
 
 
 def dim_promotion(members: DataFrame) -> DataFrame:
@@ -153,11 +150,14 @@ def _each_day(first: Column, last: Column) -> Column:
 
 
 # The calendar's default first and last day.
+FIRST_DAY = dt.date(2024, 1, 1)
+LAST_DAY = dt.date(2025, 12, 31)
+
+
 def dim_date(
-    spark: SparkSession,
-    first: dt.date = dt.date(2024, 1, 1),
-    last: dt.date = dt.date(2025, 12, 31),
+    spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date = LAST_DAY
 ) -> DataFrame:
+    """Calendar of the given days."""
     return calendar(spark.range(1).select(_each_day(F.lit(first), F.lit(last))))
 
 

@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 
 from shelfwise.functions.classify import first_match
 from shelfwise.functions.names import quote_bare_words
-from shelfwise.functions.numbers import exact
+from shelfwise.functions.numbers import decimal_for, exact
 from shelfwise.operators.rules import fetch_rules
-from shelfwise.types import BASELINE_PRICE, DISCOUNT
+from shelfwise.types import BASELINE_PRICE
 
 # Fixed value: own price over the competitor's, where no own price is known.
 BASELINE_FACTOR = "1.05"
@@ -41,11 +41,12 @@ def condition_of(df: DataFrame, rule: Row) -> Column:
 def apply_priority_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Add ``Optimal_Discount_Pct``: the percentage of the first rule, by priority,
     that holds for a row, and 0 if none does. A rule of 0 % also claims its rows."""
+    fetched = fetch_rules(rules, "priority", "rule_id")
+    kind = decimal_for([r["discount_percentage"] for r in fetched], whole=4, decimals=4)
     branches = [
-        (condition_of(df, r), exact(r["discount_percentage"]).cast(DISCOUNT))
-        for r in fetch_rules(rules, "priority", "rule_id")
+        (condition_of(df, r), exact(r["discount_percentage"]).cast(kind)) for r in fetched
     ]
-    return df.withColumn("Optimal_Discount_Pct", first_match(branches, exact(0).cast(DISCOUNT)))
+    return df.withColumn("Optimal_Discount_Pct", first_match(branches, exact(0).cast(kind)))
 
 
 def with_markdown_amounts(df: DataFrame) -> DataFrame:

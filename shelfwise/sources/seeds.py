@@ -44,7 +44,8 @@ TRENDS = (
     (3, "P103", "SEASONAL_TREND", 75.0, "UP", "FESTIVAL"),
 )
 
-# Banded rules as (id, rule, trigger, operator, min, max, text, multiplier, discount %).
+# Banded rules as
+# (id, rule, trigger, operator, min, max, text, multiplier, discount %).
 BANDED_RULES = (
     (1, "EXPIRY", "days_in_stock", "BETWEEN", 0, 2, None, 0.40, 60),
     (1, "EXPIRY", "days_in_stock", "BETWEEN", 3, 7, None, 0.55, 45),

@@ -11,14 +11,12 @@ from pyspark.sql import types as T
 PRICE = T.DecimalType(10, 2)
 VALUE = T.DecimalType(12, 2)
 RATING = T.DecimalType(3, 2)
-MULTIPLIER = T.DecimalType(7, 4)
-RULE_PRICE = T.DecimalType(18, 6)  # type of PRICE * MULTIPLIER
+RULE_PRICE = T.DecimalType(18, 6)  # PRICE times a multiplier of four decimals
 COST = T.DecimalType(12, 4)
 BASELINE_PRICE = T.DecimalType(14, 4)
 AMOUNT = T.DecimalType(20, 2)
 PERCENT = T.DecimalType(14, 2)
 PERCENT_ONE = T.DecimalType(18, 1)
-DISCOUNT = T.DecimalType(8, 4)
 SHARE = T.DecimalType(5, 2)
 KEY = T.LongType()
 COUNT = T.IntegerType()

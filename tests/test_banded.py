@@ -4,7 +4,6 @@ from decimal import Decimal
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from shelfwise.operators import banded
 from shelfwise.operators.kpis import pricing_kpis
@@ -125,6 +124,13 @@ def test_all_operators(spark):
         assert [int(r["price_r"] == 50) for r in result.collect()] == expected
 
 
+def test_multipliers_keep_all_their_decimals(spark):
+    df = frame(spark, [row(price="1000", days=1.0), row(price="1000", days=9.0)])
+    bands = [("days_in_stock", "<", 0.0, 5.0, None, 0.123456), ("days_in_stock", ">", 5.0, 0.0, None, 999.5)]
+    result, _ = banded.apply_banded_rules(df, one_rule(spark, *bands))
+    assert [r["price_r"] for r in result.collect()] == [Decimal("123.456"), 999500]
+
+
 def test_usage_counts_each_row_once_per_rule(spark, work):
     from shelfwise.plans import queries as Q
 

@@ -56,6 +56,11 @@ def test_table_order_does_not_matter(spark):
     assert discounts(df, table) == [7.5]
 
 
+def test_percentages_keep_all_their_decimals(spark):
+    df = priced(spark, ("10", "9", 101, "2.9", "0.9", "Bulk"))
+    assert discounts(df, rules(spark, ("Stock_Level > 1", 12.345678, 1), ("true", 1.0, 2))) == [12.345678]
+
+
 def test_no_rules(spark):
     df = priced(spark, ("10", "9", 101, "2.9", "0.9", "Bulk"))
     assert discounts(df, rules(spark)) == [0]
