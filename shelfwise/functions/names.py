@@ -8,8 +8,15 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 # A quoted string (left alone), or a comparison with a bare word after it.
-_BARE = re.compile(r"'(?:[^']|'')*'|(?P<op>(?:<>|!=|==?)\s*)(?P<word>[A-Za-z_]\w*)\b(?!\s*[.(])")
-_KEYWORDS = {"true", "false", "null", "case", "cast", "date", "timestamp", "interval", "not"}
+_BARE = re.compile(
+    r"'(?:[^']|'')*'"
+    r'|"[^"]*"'
+    r"|(?P<op>(?:<>|!=|==?)\s*)(?P<word>[A-Za-z_]\w*)\b(?!\s*[.(])"
+)
+_KEYWORDS = {
+    "true", "false", "null", "case", "cast", "date", "timestamp", "interval", "not",
+    "current_date", "current_timestamp", "current_user",
+}
 
 
 def normalize_names(df: DataFrame, lower: bool = True) -> DataFrame:

@@ -73,6 +73,9 @@ def test_bare_words_are_quoted(spark):
     assert quote_bare_words("a = Loyal AND b='x = Bulk'", columns) == "a = 'Loyal' AND b='x = Bulk'"
     assert quote_bare_words("Our_Price = competitor_price", columns) == "Our_Price = competitor_price"
     assert quote_bare_words("flag = true OR x = lower(y)", columns) == "flag = true OR x = lower(y)"
+    assert quote_bare_words('a = "x = Bulk" AND day = current_date', columns) == (
+        'a = "x = Bulk" AND day = current_date'
+    )
     assert quote_bare_words("a <> Regular", columns) == "a <> 'Regular'"
 
 
