@@ -5,17 +5,44 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import minhash, packing
+from shelfwise.llm import chains, compression, contamination, minhash, packing
 from shelfwise.llm.scratch import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is chosen. Rows without an id can't be judged by id and stay."""
+    named = docs.where("doc_id is not null").join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+    return named.select(docs.columns).unionAll(docs.where("doc_id is null"))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts. It is fitted on labelled documents of the whole table."""
+    labelled = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = compression.fit(labelled, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return compression.filter_rows(docs, model)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the least id, stays."""
-    found = minhash.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(found.distinct(), "doc_id", "left_semi")
+    return _only(docs, minhash.near_duplicates(docs).where("kept"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages go from all documents but their first holder. A document of which no word
+    is left goes; others stay, with the number of characters they still have."""
+    left = chains.without_passages(docs, chains.passages(docs))
+    changed = left.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0).cast("long")))
+    return changed.where(F.coalesce(F.trim("text"), F.lit("")) != "").select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    found = contamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _only(docs, found.where("not contaminated"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,11 +51,14 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
     ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontaminate),
     ("packing", packed),
 ]
 
-#: Tokens, hash minima and compressed sizes have no SQL.
+#: Compressed sizes and tokens have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -3,12 +3,12 @@
 1. One pass over the texts gives each document the minima of 128 universal hash functions over its
    shingles, as 32 band keys (4 minima each), and 8 bits of each minimum for verification.
 2. Documents with the same words are one class; only the representative (least id) goes on.
-3. Buckets are never expanded into all pairs. Each member of a bucket is paired with a centre; the
-   bands take their centres by four different orders, so members of a large group meet several.
-   Pairs pass the size bound, the minima's estimate, and the exact sets of the whole texts.
-4. Components of the confirmed links. What is left in buckets of three or more that hold several
-   components is paired across components, checked the same way, and joined in. So no link that
-   could join two components is lost, and members that already are in one component need no pair.
+3. The least member of a bucket is its centre. All that share a bucket with a centre are its group,
+   whatever the band, so two documents that share any bucket meet in a group. Of a group of two, the
+   size bound and the signatures tell whether the texts have to be compared.
+4. Groups are compared on the exact sets of whole texts, in blocks of bounded size (large groups: each
+   block with each). No pairs are emitted: inverted lists of the blocks give the intersection sizes,
+   and only the links of a spanning forest come out. Then components of these links.
 
 At a similarity of 0.75 a pair shares no band with probability 5e-6, and falls below the estimate's
 bound (0.55) with less than 1e-6.
@@ -33,8 +33,8 @@ from shelfwise.llm.words import blank_words, shingles
 WORDS = 5
 SIMILARITY = 75  # of 100
 BANDS, ROWS = 32, 4
-ORDERS = 4
 BOUND = 0.55
+BLOCK = 4 << 20  # bytes of text of a block
 
 SKETCH = "doc_id long, n_shingles long, words_hash binary, minima binary, bands array<long>"
 
@@ -102,37 +102,82 @@ def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x == y).mean(1) >= BOUND)
 
 
-def _confirm(words: int, similarity: int):
+def _forest(sets: list[np.ndarray], similarity: int) -> list[tuple[int, int]]:
+    """Links that join the members whose sets are similar enough, by position; a spanning forest.
+
+    The first member is compared with all, then each that is not yet joined to it. Intersection
+    sizes with all members come from the members' inverted lists.
+    """
+    sizes = np.array(list(map(len, sets)))
+    _, places, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owners = np.repeat(np.arange(len(sets)), sizes)[np.argsort(places, kind="stable")]
+    ends = np.cumsum(counts)
+    cuts = np.concatenate([[0], np.cumsum(sizes)])
+    parent = list(range(len(sets)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    links = []
+    for x in range(len(sets)):
+        if x and root(x) == root(0):
+            continue
+        mine = places[cuts[x] : cuts[x + 1]]
+        taken = counts[mine]
+        # Positions of all entries of the lists of x's shingles.
+        at = np.arange(taken.sum()) + np.repeat(ends[mine] - np.cumsum(taken), taken)
+        both = np.bincount(owners[at], minlength=len(sets))
+        both[x] = 0
+        for y in np.flatnonzero((both > 0) & (100 * both >= similarity * (sizes + sizes[x] - both))).tolist():
+            if root(x) != root(y):
+                parent[root(y)] = root(x)
+                links.append((x, y))
+    return links
+
+
+def _compare(words: int, similarity: int):
+    """Rows come sorted by group; a group is two blocks at most."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, sets, found = None, [], [], []
         for batch in batches:
-            kept = []
-            last, mine = None, None
-            for i, (u, a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True)):
-                if u != last:
-                    last, mine = u, shingles(blank_words(a.as_py()), words)
-                other = shingles(blank_words(b.as_py()), words)
-                both = len(np.intersect1d(mine, other, assume_unique=True))
-                if both and 100 * both >= similarity * (len(mine) + len(other) - both):
-                    kept.append(i)
-            yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
+            keys = zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
+            for (centre, i, j, doc_id), text in zip(keys, batch.column(4), strict=True):
+                if (centre, i, j) != key:
+                    found += [(ids[x], ids[y]) for x, y in _forest(sets, similarity)] if len(ids) > 1 else []
+                    key, ids, sets = (centre, i, j), [], []
+                ids.append(doc_id)
+                sets.append(shingles(blank_words(text.as_py()), words))
+            if found:
+                yield _pairs(found)
+                found = []
+        if len(ids) > 1:
+            yield _pairs([(ids[x], ids[y]) for x, y in _forest(sets, similarity)])
 
     return run
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
-    """Those of the candidate pairs (u > v) that are similar enough."""
-    u, v = (reps.select(F.col("doc_id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("minima").alias(f"m_{k}")) for k in "uv")
-    near = (
-        pairs.join(u, "u").join(v, "v")
-        .where(F.lit(100) * F.least("n_u", "n_v") >= F.lit(similarity) * F.greatest("n_u", "n_v"))
-        .where(_alike("m_u", "m_v")).select("u", "v")
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    u, v = zip(*found, strict=True) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (u, v)], names=["u", "v"])
+
+
+def _links(groups: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame:
+    """Similar members of the same group (centre, doc_id), as links of a spanning forest."""
+    sized = groups.join(texts.select("doc_id", F.length("text").alias("bytes")), "doc_id")
+    blocks = sized.groupBy("centre").agg(F.ceil(F.sum("bytes") / BLOCK).alias("blocks"))
+    b = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
+    placed = (
+        groups.join(blocks, "centre")
+        .select("centre", "doc_id", b.alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("k"))
+        .select("centre", F.least("b", "k").alias("i"), F.greatest("b", "k").alias("j"), "doc_id")
     )
-    near = stored(near, "pairs")
-    both = near.select(F.col("u").alias("doc_id")).unionAll(near.select("v")).distinct()
-    texts = stored(docs.join(both, "doc_id", "left_semi"), "pair-texts")
-    u, v = (texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"t_{k}")) for k in "uv")
-    full = near.join(v, "v").join(u, "u").select("u", "v", "t_u", "t_v")
-    return stored(full.mapInArrow(_confirm(words, similarity), "u long, v long"), "links")
+    rows = placed.join(texts, "doc_id").select("centre", "i", "j", "doc_id", "text")
+    ordered = rows.repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j", "doc_id")
+    return ordered.mapInArrow(_compare(words, similarity), "u long, v long")
 
 
 def near_duplicates(
@@ -141,8 +186,8 @@ def near_duplicates(
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
     Texts that are null, empty or blank are linked with nothing. Rows without an id get no
-    component, are linked with nothing and are kept. Rows that repeat an id are one document in
-    the links, and each comes back. Other columns are ignored; an empty table gives no rows.
+    component, are linked with nothing and are kept. Rows that repeat an id are one node of the
+    links, with the links of all their texts, and each comes back. Other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     sketch = stored(sketches(rows, words), "sketches")
@@ -150,28 +195,29 @@ def near_duplicates(
     classes = stored(worded.groupBy("words_hash").agg(F.min("doc_id").alias("class_id")), "classes")
     reps = stored(
         worded.join(classes, (worded.doc_id == classes.class_id) & (worded.words_hash == classes.words_hash), "left_semi")
-        .dropDuplicates(["doc_id"]), "representatives",
+        .dropDuplicates(["doc_id", "words_hash"]), "representatives",
     )
 
-    entries = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).withColumn(
-        "priority", F.xxhash64("doc_id", F.col("band") % ORDERS)
-    )
-    buckets = entries.groupBy("key").agg(
-        F.min(F.struct("priority", "doc_id")).alias("centre"), F.count("*").alias("size")
-    ).where("size > 1")
-    members = stored(
-        entries.join(buckets, "key").select("key", "doc_id", F.col("centre.doc_id").alias("centre"), "size"), "buckets"
+    entries = reps.select("doc_id", F.explode("bands").alias("key"))
+    buckets = entries.groupBy("key").agg(F.min("doc_id").alias("centre"), F.count("*").alias("n")).where("n > 1")
+    star = entries.join(buckets, "key").where("doc_id <> centre").select("centre", "doc_id").distinct()
+    star = stored(star, "stars")
+    sizes = star.groupBy("centre").agg(F.count("*").alias("others"))
+    ends = [
+        reps.select(F.col("doc_id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("minima").alias(f"m_{k}"))
+        for k in ("doc_id", "centre")
+    ]
+    single = (
+        star.join(sizes.where("others = 1").select("centre"), "centre").join(ends[0], "doc_id").join(ends[1], "centre")
+        .where(F.lit(100) * F.least("n_doc_id", "n_centre") >= F.lit(similarity) * F.greatest("n_doc_id", "n_centre"))
+        .where(_alike("m_doc_id", "m_centre")).select("centre", "doc_id")
     )
-    first = members.where("doc_id <> centre").select(
-        F.greatest("doc_id", "centre").alias("u"), F.least("doc_id", "centre").alias("v")
-    ).distinct()
-    links = _links(first, reps, rows, words, similarity)
-    found = stored(components(links), "components")
-
-    rest = _across(members.where("size > 2").select("key", "doc_id"), found).join(first, ["u", "v"], "left_anti")
-    more = _links(rest, reps, rows, words, similarity)
-    joined = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more)
-    final = stored(components(joined), "components")
+    spokes = single.unionAll(star.join(sizes.where("others > 1").select("centre"), "centre").select("centre", "doc_id"))
+    groups = spokes.unionAll(spokes.select("centre", F.col("centre").alias("doc_id")).distinct())
+    groups = stored(groups, "groups")
+    texts = rows.join(groups.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = stored(texts, "group-texts")
+    final = stored(components(_links(groups, texts, words, similarity)), "components")
 
     known = classes.join(final, classes.class_id == final.node, "left").select(
         "words_hash", F.coalesce("component", "class_id").alias("component_id")
@@ -180,19 +226,3 @@ def near_duplicates(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
     )
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-
-
-def _across(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of bucket members in different components, but for those within a bucket's largest."""
-    placed = members.join(found, F.col("doc_id") == F.col("node"), "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
-    parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
-    mixed = mixed.where("parts > 1").select("key", F.col("largest.component").alias("largest"))
-    open_ = stored(placed.join(mixed, "key"), "open-buckets")
-    odd = open_.where("component <> largest").select("key", F.col("doc_id").alias("a"), F.col("component").alias("c"))
-    return (
-        odd.join(open_, (odd.key == open_.key) & (odd.c != open_.component))
-        .select(F.greatest("a", "doc_id").alias("u"), F.least("a", "doc_id").alias("v")).distinct()
-    )

@@ -5,29 +5,160 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import elias_fano, minhash, packing
+from shelfwise.llm import (
+    backoff, chains, compression, contamination, elias_fano, minhash, packing, topk, urls, warc,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    scored = backoff.scores(_table(spark, folder, "documents"))
+    return scored.select("doc_id", "n_words", F.round("score", 4).alias("score"), F.round("mean_score", 6).alias("mean_score"))
+
+
 def op2_elias_fano(spark: SparkSession, folder: str) -> DataFrame:
     return elias_fano.token_files(_table(spark, folder, "documents"))
 
 
+def op3_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return compression.score(docs, compression.fit(docs, _table(spark, folder, "labels")))
+
+
+def op4_warc_chain(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.archived(_table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+def op5_url_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, folder, "pages"))
+
+
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.drop("near_ids")
+
+
+def op8_threshold_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(_table(spark, folder, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return chains.passages(_table(spark, folder, "documents"))
+
+
+QUERIES = (
+    op1_stupid_backoff, op2_elias_fano, op3_compression_quality, op4_warc_chain, op5_url_markov,
+    op6_near_duplicates, op7_contamination, op8_threshold_topk, op9_packing, op10_repeated_passages,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_elias_fano, op6_near_duplicates, op9_packing)}
+    return {f.__name__: f for f in QUERIES}
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANK_WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+_ALNUM_WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+
+BACKOFF_SQL = f"""
+WITH d AS (SELECT doc_id, {_BLANK_WORDS} AS w FROM documents),
+t AS (SELECT doc_id, unnest(w) AS b, unnest(range(1, len(w) + 1)) AS i FROM d),
+p AS (SELECT doc_id, i, b, lag(b) OVER (PARTITION BY doc_id ORDER BY i) AS a FROM t),
+n AS (SELECT count(*) AS n FROM t),
+l AS (SELECT doc_id, count(*) AS n FROM t GROUP BY ALL),
+u AS (SELECT b, count(*) AS n FROM p GROUP BY ALL),
+ud AS (SELECT doc_id, b, count(*) AS n FROM p GROUP BY ALL),
+g AS (SELECT a, b, count(*) AS n FROM p WHERE a IS NOT NULL GROUP BY ALL),
+gd AS (SELECT doc_id, a, b, count(*) AS n FROM p WHERE a IS NOT NULL GROUP BY ALL),
+s AS (
+  SELECT p.doc_id, CASE
+      WHEN p.a IS NOT NULL AND g.n > gd.n THEN ln((g.n - gd.n) / (ua.n - uad.n))
+      ELSE CASE WHEN p.a IS NULL THEN 0 ELSE ln(0.4) END
+        + ln(greatest(u.n - ud.n, 0.5) / greatest((SELECT n FROM n) - l.n, 1)) END AS score
+  FROM p JOIN l USING (doc_id) JOIN u ON u.b = p.b JOIN ud ON ud.doc_id = p.doc_id AND ud.b = p.b
+  LEFT JOIN u ua ON ua.b = p.a LEFT JOIN ud uad ON uad.doc_id = p.doc_id AND uad.b = p.a
+  LEFT JOIN g ON g.a = p.a AND g.b = p.b
+  LEFT JOIN gd ON gd.doc_id = p.doc_id AND gd.a = p.a AND gd.b = p.b
+)
+SELECT d.doc_id, len(d.w) AS n_words, round(coalesce(sum(s.score), 0.0), 4) AS score,
+  round(sum(s.score) / nullif(len(d.w), 0), 6) AS mean_score
+FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id, d.w
+"""
+
+NEAR_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_BLANK_WORDS} AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_transform(range(1, len(w) - 3), i -> w[i:i + 4]) END) AS s FROM d
+),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY ALL),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON l.u = r.other),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY ALL)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
+"""
+
+CONTAMINATION_SQL = f"""
+WITH d AS (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_ALNUM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT item_id, w, least(len(w), 13) AS n FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), k -> w[k:k + n - 1])) AS s FROM i),
+sizes AS (SELECT DISTINCT n FROM i),
+runs AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS k,
+    unnest(list_transform(range(1, len(w) - n + 2), k -> w[k:k + n - 1])) AS s
+  FROM d, sizes WHERE len(w) >= n
+),
+found AS (SELECT r.doc_id, r.k, r.n, x.item_id FROM runs r JOIN windows x ON x.n = r.n AND x.s = r.s),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM found) GROUP BY ALL),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY ALL
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+c AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x) AS score FROM c q JOIN c ON c.i = q.i
+  WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id GROUP BY ALL
+),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score::BIGINT AS score FROM r WHERE rank <= 5
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_stupid_backoff": BACKOFF_SQL,
+        "op6_near_duplicates": NEAR_SQL,
+        "op7_contamination": CONTAMINATION_SQL,
+        "op8_threshold_topk": TOP_K_SQL,
+    }
