@@ -71,8 +71,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_BLANK_WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x20\x09-\x0D]+'), x -> x <> '')"
-_ALNUM_WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+_BLANK_WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_ALNUM_WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 BACKOFF_SQL = f"""
 WITH d AS (SELECT doc_id, {_BLANK_WORDS} AS w FROM documents),
@@ -103,7 +103,7 @@ NEAR_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_BLANK_WORDS} AS w FROM documents),
 g AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
-    ELSE list_transform(range(1, len(w) - 3), i -> w[i:i + 4]) END) AS s FROM d
+    ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS s FROM d
 ),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY ALL),
 links AS (
@@ -121,11 +121,11 @@ CONTAMINATION_SQL = f"""
 WITH d AS (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_ALNUM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
 i AS (SELECT item_id, w, least(len(w), 13) AS n FROM b WHERE len(w) > 0),
-windows AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), k -> w[k:k + n - 1])) AS s FROM i),
+windows AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: w[k:k + n - 1])) AS s FROM i),
 sizes AS (SELECT DISTINCT n FROM i),
 runs AS (
   SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS k,
-    unnest(list_transform(range(1, len(w) - n + 2), k -> w[k:k + n - 1])) AS s
+    unnest(list_transform(range(1, len(w) - n + 2), lambda k: w[k:k + n - 1])) AS s
   FROM d, sizes WHERE len(w) >= n
 ),
 found AS (SELECT r.doc_id, r.k, r.n, x.item_id FROM runs r JOIN windows x ON x.n = r.n AND x.s = r.s),
@@ -142,8 +142,8 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 
 TOP_K_SQL = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 c AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM v),
 s AS (
