@@ -89,12 +89,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     usable = usable.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = [
+    chosen = {
         *((r.doc_id, r.label, True) for k in (0, 1) for r in usable.where(F.col("label") == k).orderBy(*order).limit(EXAMPLES).collect()),
         *((r.doc_id, r.label, False) for r in usable.orderBy(*(F.xxhash64("doc_id", F.lit(1)), F.col("doc_id"))).limit(CALIBRATION).collect()),
-    ]
+    }
     # At most 2 * EXAMPLES + CALIBRATION rows of CHARACTERS characters come to the driver.
-    ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int, example boolean").distinct()
+    ids = docs.sparkSession.createDataFrame(sorted(chosen), "doc_id long, label int, example boolean")
     text = F.col(text_col).cast("string")
     spare = F.greatest(F.length(text) - CHARACTERS, F.lit(1))
     texts = docs.select(
