@@ -27,7 +27,7 @@ ORDER = 2
 ALPHA = 0.4
 UNKNOWN = 0.5
 CHUNK = 8 << 20  # bytes of text of a chunk
-PARTITION = 24 << 20  # bytes of text whose n-grams share a hash partition
+PARTITION = 8 << 20  # bytes of text whose n-grams share a hash partition
 
 GRAMS = "part long, chunk long, grams binary, counts binary"
 COUNTS = "chunk long, part long, places binary, others binary"
@@ -86,6 +86,17 @@ def _send(order: int, parts: int):
     return run
 
 
+def _pack(counts: np.ndarray) -> bytes:
+    """A byte for each positive count; those from 255 on follow in eight bytes."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
+
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data, "<i8", offset=n)
+    return counts
+
+
 def _count(table: pa.Table) -> pa.Table:
     """One hash partition's count table, joined back to the chunks."""
     part = table.column("part")[0].as_py()
@@ -97,8 +108,7 @@ def _count(table: pa.Table) -> pa.Table:
     for chunk, own in zip(table.column("chunk").to_pylist(), counts, strict=True):
         others = totals[number[at : at + len(own)]] - own
         at += len(own)
-        places = np.flatnonzero(others)
-        rows.append((chunk, part, places.astype("<u4").tobytes(), others[places].astype("<i8").tobytes()))
+        rows.append((chunk, part, np.packbits(others > 0).tobytes(), _pack(others[others > 0])))
     return _table(rows, COUNTS)
 
 
@@ -108,7 +118,8 @@ def _score(order: int, parts: int, alpha: float, tokens: int):
         totals = chunk.counts.copy()
         starts = dict(zip(chunk.parts.tolist(), chunk.starts.tolist(), strict=True))
         for part, places, others in zip(*(found.column(c).to_pylist() for c in ("part", "places", "others")), strict=True):
-            totals[starts[part] + np.frombuffer(places, "<u4").astype(np.int64)] += np.frombuffer(others, "<i8")
+            at = np.flatnonzero(np.unpackbits(np.frombuffer(places, np.uint8)))
+            totals[starts[part] + at] += _unpack(others, len(at))
         left = []
         for k in range(order):
             left.append(np.where(chunk.known[k], totals[chunk.at[k]] - chunk.own(k), 0) if len(totals) else np.zeros(0))
