@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from shelfwise.plans.queries import queries
-from shelfwise.plans.workspace import Workspace, workspace
+from shelfwise.plans.workspace import AS_OF, Workspace, workspace
 from shelfwise.session import builder
 
 RUNS = 3
@@ -58,17 +58,17 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    shared = workspace(spark, folder)
+    shared = workspace(spark, folder, AS_OF)
     seconds = {
-        "stage_retail_lines": median_seconds(lambda: Workspace(spark, folder).lines),
-        "stage_dims": median_seconds(lambda: Workspace(spark, folder, lines=shared.lines).dims),
+        "stage_retail_lines": median_seconds(lambda: Workspace(spark, folder, AS_OF).lines),
+        "stage_dims": median_seconds(lambda: Workspace(spark, folder, AS_OF, lines=shared.lines).dims),
     }
     for name, query in queries().items():
         if chosen and name not in chosen:
             continue
         if name in STAGED:
             # Built anew each time; the queries after it find it stored.
-            built = lambda: getattr(Workspace(spark, folder, lines=shared.lines), name)
+            built = lambda: getattr(Workspace(spark, folder, AS_OF, lines=shared.lines), name)
             seconds[name] = median_seconds(built)
         else:
             seconds[name] = median_seconds(lambda: run(query(spark, folder)))

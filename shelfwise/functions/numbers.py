@@ -10,17 +10,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+MAX_DIGITS = 38
+
+
 def exact(value: float | int | str | Decimal) -> Column:
     """Literal with the decimal digits the number is written with."""
     return F.lit(Decimal(str(value)))
 
 
 def decimal_for(values: Iterable[float], whole: int, decimals: int) -> T.DecimalType:
-    """DECIMAL with ``whole`` digits before the point and at least ``decimals`` after it,
+    """DECIMAL with at least ``whole`` digits before the point and ``decimals`` after it,
     more if the values are written with more."""
-    written = [-Decimal(str(v)).as_tuple().exponent for v in values]
-    scale = max([decimals, *written])
-    return T.DecimalType(whole + scale, scale)
+    numbers = [Decimal(str(v)) for v in values]
+    scale = max([decimals, *(-n.as_tuple().exponent for n in numbers)])
+    digits = max([whole, *(n.adjusted() + 1 for n in numbers)]) + scale
+    if digits > MAX_DIGITS:
+        raise ValueError(f"the values need {digits} decimal digits; {MAX_DIGITS} are the most")
+    return T.DecimalType(digits, scale)
 
 
 def percent_of(part: Column, whole: Column, to: T.DecimalType) -> Column:

@@ -11,9 +11,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions.classify import first_match
-from shelfwise.functions.numbers import decimal_for, exact, percent_of
+from shelfwise.functions.numbers import MAX_DIGITS, decimal_for, exact, percent_of
 from shelfwise.operators.rules import BAND_ORDER, fetch_rules, select_rules
 from shelfwise.sources.seeds import rows_to_df
 from shelfwise.types import COST, PERCENT, RULE_PRICE
@@ -121,14 +122,28 @@ def rule_prices(df: DataFrame, bands: dict[str, list[Row]]) -> DataFrame:
     of all rules together within what the JVM compiles.
     """
     price = F.col("original_price")
+    products = df.select(
+        [(price * rule_multiplier(rows)).alias(_price_column(name)) for name, rows in bands.items()]
+    )
     return df.withColumns(
         {
-            _price_column(name): (price * rule_multiplier(rows)).cast(RULE_PRICE)
+            _price_column(name): (price * rule_multiplier(rows)).cast(
+                _rule_price(products.schema[_price_column(name)].dataType)
+            )
             for name, rows in bands.items()
         }
     )
 
 
+def _rule_price(product: T.DataType) -> T.DecimalType:
+    """RULE_PRICE, or wider if the product of price and multiplier has more digits."""
+    if not isinstance(product, T.DecimalType):
+        return RULE_PRICE
+    scale = max(RULE_PRICE.scale, product.scale)
+    whole = max(RULE_PRICE.precision - RULE_PRICE.scale, product.precision - product.scale - 1)
+    return T.DecimalType(min(MAX_DIGITS, whole + scale), scale)
+
+
 def apply_banded_rules(
     df: DataFrame, rules: DataFrame, rule_names: Sequence[str] | None = None
 ) -> tuple[DataFrame, list[str]]:

@@ -161,10 +161,13 @@ def dim_date(
     return calendar(spark.range(1).select(_each_day(F.lit(first), F.lit(last))))
 
 
-def dim_date_of(df: DataFrame, column: str) -> DataFrame:
-    """Calendar from the first to the last day found in a column."""
-    day = F.col(column).cast("date")
-    span = df.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+def dim_date_of(df: DataFrame, column: str, *also: dt.date) -> DataFrame:
+    """Calendar from the first to the last day found in a column or given besides."""
+    day, more = F.col(column).cast("date"), [F.lit(d) for d in also]
+    first, last = F.min(day), F.max(day)
+    if more:
+        first, last = F.least(first, *more), F.greatest(last, *more)
+    span = df.agg(first.alias("first"), last.alias("last"))
     return calendar(span.select(_each_day(F.col("first"), F.col("last"))))
 
 

@@ -204,6 +204,7 @@ def fact_customer_feedback(retail_b: DataFrame, dims: Dims, as_of: dt.datetime)
 
 
 # The product-level facts assume one sale of each product at a flat discount.
+FLAT_DATE = dt.date(2025, 1, 1)
 FLAT_DATE_KEY = 20250101
 FLAT_DISCOUNT = "0.10"
 FLAT_REMAINDER = "0.90"

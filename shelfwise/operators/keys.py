@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -10,40 +9,17 @@ from pyspark.sql import functions as F
 
 from shelfwise.sinks.staging import stage
 
-# Up to this many members one sort numbers them all.
-ONE_SORT_ROWS = 200_000
-# Beyond it, members per range slice.
-SLICE_ROWS = 1_000_000
 
-
-def number_members(
-    members: DataFrame,
-    key: str,
-    order_by: Sequence[str],
-    one_sort_rows: int = ONE_SORT_ROWS,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
+def number_members(members: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """Give distinct members the keys 1..n in the order of ``order_by``.
 
-    The same members always get the same keys. ``members`` must be a stored
-    table, as it is counted and then read. Few members are sorted in one task;
-    many are split into ranges that are numbered side by side, each starting
-    after the rows of the ranges before it.
+    The same members always get the same keys. They are split into ranges and written
+    once, so that the slice a row belongs to is settled; then the slices are numbered
+    side by side, each starting after the rows of the slices before it.
     """
     ordering = [F.asc_nulls_first(c) for c in order_by]
-    total = members.count()
-    if total <= one_sort_rows:
-        number = F.row_number().over(Window.orderBy(*ordering))
-        return members.select(number.cast("bigint").alias(key), *members.columns)
-
-    slices = math.ceil(total / slice_rows)
-    # Stored, so that the slice a row belongs to is settled before rows are counted.
-    sliced = stage(
-        members.repartitionByRange(slices, *ordering).withColumn(
-            "_slice", F.spark_partition_id()
-        ),
-        f"{key}_slices",
-    )
+    ranged = members.repartitionByRange(*ordering)
+    sliced = stage(ranged.withColumn("_slice", F.spark_partition_id()), f"{key}_slices")
     # One row per slice.
     starts = (
         sliced.groupBy("_slice")

@@ -32,3 +32,10 @@ def assert_unique(df: DataFrame, columns: Sequence[str], name: str) -> None:
     twice = df.groupBy(*columns).count().where("count > 1").limit(1).collect()
     if twice:
         raise ValueError(f"{name} is not unique on {list(columns)}: {twice[0].asDict()}")
+
+
+def assert_found(df: DataFrame, key: str, dimension: DataFrame, name: str) -> None:
+    """Fail if a key of ``df`` is no member of the dimension; one row is fetched at most."""
+    missing = df.where(F.col(key).isNotNull()).select(key).distinct().join(dimension, key, "left_anti")
+    if rows := missing.take(1):
+        raise ValueError(f"{name}: {key} {rows[0][0]} is not in its dimension")

@@ -1,5 +1,6 @@
-"""Reading rule tables. Rules are metadata: they are fetched once, in evaluation
-order, and compiled to column expressions, so rows are never joined with rules."""
+"""Reading rule tables. Rules are metadata: they are fetched whole, once, in evaluation
+order, and compiled to column expressions, so rows are never joined with rules. A rule
+table has to fit the driver, as the expressions made from it do."""
 
 from __future__ import annotations
 
@@ -8,15 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-# A rule table beyond this size is no rule table; it is refused, not cut off.
-MAX_RULES = 500
-
-
 def fetch_rules(rules: DataFrame, *order: Column | str) -> list[Row]:
-    rows = rules.orderBy(*order).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rule rows")
-    return rows
+    return rules.orderBy(*order).collect()
 
 
 def select_rules(rules: DataFrame, rule_names: Sequence[str] | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from shelfwise.functions import classify
 from shelfwise.functions.names import normalize_names
 from shelfwise.operators import banded, conform, facts, kpis, priority, quality
 from shelfwise.operators.joins import lookup
-from shelfwise.plans.workspace import Workspace, workspace
+from shelfwise.plans.workspace import AS_OF, Workspace, workspace
 from shelfwise.sinks.tables import preview
 from shelfwise.sources import seeds
 
@@ -362,6 +362,6 @@ _PLANS: dict[str, Callable[[Workspace], DataFrame]] = {
 
 def queries() -> dict[str, Query]:
     def over_folder(plan: Callable[[Workspace], DataFrame]) -> Query:
-        return lambda spark, folder: plan(workspace(spark, folder))
+        return lambda spark, folder: plan(workspace(spark, folder, AS_OF))
 
     return {name: over_folder(plan) for name, plan in _PLANS.items()}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from shelfwise.operators import facts
 from shelfwise.operators.keys import with_row_id
-from shelfwise.operators.quality import assert_unique, row_counts
+from shelfwise.operators.quality import assert_found, assert_unique, row_counts
 from shelfwise.plans.workspace import Workspace
 from shelfwise.sinks.tables import ensure_database, load_table, overwrite_table
 from shelfwise.types import TABLES
@@ -41,7 +41,8 @@ def load_star(work: Workspace, database: str, fmt: str = "parquet") -> DataFrame
     overwrite_table(work.retail_a, target("retail_a"), fmt)
     overwrite_table(work.retail_b, target("retail_b"), fmt)
     for name in (*NATURAL_KEYS, *OTHER_DIMS):
-        load_table(getattr(work, name), target(name), TABLES[name], fmt)
+        source = work.star_date if name == "dim_date" else getattr(work, name)
+        load_table(source, target(name), TABLES[name], fmt)
 
     dims = {name: spark.table(target(name)) for name in (*NATURAL_KEYS, *OTHER_DIMS)}
     for name, key in NATURAL_KEYS.items():
@@ -59,6 +60,8 @@ def load_star(work: Workspace, database: str, fmt: str = "parquet") -> DataFrame
     for name, fact in built.items():
         row_id = TABLES[name].names[0]
         load_table(with_row_id(fact, row_id), target(name), TABLES[name], fmt)
+        if "date_key" in TABLES[name].names:
+            assert_found(spark.table(target(name)), "date_key", dims["dim_date"], name)
 
     loaded = ("retail_a", "retail_b", *dims, *built)
     return row_counts({name: spark.table(target(name)) for name in loaded})

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.operators import dims, facts
-from shelfwise.sinks.staging import spread, stage
+from shelfwise.sinks.staging import stage
 from shelfwise.sources import retail, seeds
 
-# Load date of facts, so that the same input always gives the same facts.
+# Load date of the facts that queries compare: the same input always gives the same facts.
 AS_OF = dt.datetime(2025, 6, 30)
 
 FACT_DIMS = (
@@ -34,12 +35,12 @@ class Workspace:
         self,
         spark: SparkSession,
         folder: str,
-        as_of: dt.datetime = AS_OF,
+        as_of: dt.datetime | None = None,
         lines: DataFrame | None = None,
     ):
         self.spark = spark
         self.folder = folder.rstrip("/")
-        self.as_of = as_of
+        self.as_of = as_of or dt.datetime.now().replace(microsecond=0)
         self._lines = lines
 
     def table(self, name: str) -> DataFrame:
@@ -48,7 +49,7 @@ class Workspace:
     def _dimension(
         self, name: str, members: DataFrame, build: Callable[..., DataFrame], *args
     ) -> DataFrame:
-        return stage(build(stage(members, f"{name}_members"), *args), name)
+        return stage(build(members, *args), name)
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -56,7 +57,7 @@ class Workspace:
         if self._lines is not None:
             return self._lines
         base = retail.retail_base(
-            spread(self.table("lineitem")), self.table("part"), self.table("orders")
+            self.table("lineitem"), self.table("part"), self.table("orders")
         )
         return stage(retail.retail_lines(base), "retail_lines", partition_by=["source"])
 
@@ -115,6 +116,12 @@ class Workspace:
     def dim_date(self) -> DataFrame:
         return dims.dim_date_of(self.table("orders"), "o_orderdate")
 
+    @cached_property
+    def star_date(self) -> DataFrame:
+        """Calendar of the star: the days of the orders and all days that facts carry."""
+        days = (self.as_of.date(), facts.FLAT_DATE)
+        return dims.dim_date_of(self.table("orders"), "o_orderdate", *days)
+
     @cached_property
     def dim_price_range(self) -> DataFrame:
         return seeds.dim_price_range(self.spark)
@@ -137,7 +144,9 @@ class Workspace:
         side by side, so that their small jobs fill the cluster together."""
         self.retail_a, self.retail_b
         with ThreadPoolExecutor(len(FACT_DIMS)) as pool:
-            return dict(zip(FACT_DIMS, pool.map(lambda name: getattr(self, name), FACT_DIMS)))
+            # With the caller's job group, pool and other local properties.
+            build = inheritable_thread_target(self.spark)(lambda name: getattr(self, name))
+            return dict(zip(FACT_DIMS, pool.map(build, FACT_DIMS)))
 
     @cached_property
     def fact_sales(self) -> DataFrame:
@@ -156,12 +165,26 @@ class Workspace:
         return facts.fact_customer_feedback(self.retail_b, self.dims, self.as_of)
 
 
-_open: dict[tuple[str, str], Workspace] = {}
+_open: dict[tuple[str, str, dt.datetime | None], tuple[tuple, Workspace]] = {}
+
 
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and time of what the folder holds; changes when a table is replaced."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(
+        sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
+    )
 
-def workspace(spark: SparkSession, folder: str) -> Workspace:
-    """The session's workspace of a folder; staged tables are shared through it."""
-    key = (spark.conf.get("spark.app.id"), folder.rstrip("/"))
-    if key not in _open:
-        _open[key] = Workspace(spark, folder)
-    return _open[key]
+
+def workspace(spark: SparkSession, folder: str, as_of: dt.datetime | None = None) -> Workspace:
+    """The session's workspace of a folder; staged tables are shared through it.
+
+    Facts carry ``as_of``, by default the time of the first call. Once a table of the
+    folder was replaced, the next call starts anew from the tables as they are then.
+    """
+    key = (spark.conf.get("spark.app.id"), folder.rstrip("/"), as_of)
+    state = _state(spark, key[1])
+    if key not in _open or _open[key][0] != state:
+        _open[key] = (state, Workspace(spark, folder, as_of))
+    return _open[key][1]

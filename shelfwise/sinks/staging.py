@@ -6,6 +6,7 @@ outlive a lost executor, and Spark knows their size when it chooses joins.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -25,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         return _local_folder(spark.conf.get("spark.app.id"))
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
@@ -41,12 +42,3 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the session has cores, over all of them.
-
-    Input with enough splits is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -148,24 +148,20 @@ def retail_b(lines: DataFrame) -> DataFrame:
 
 def products(part: DataFrame) -> DataFrame:
     """Product master rows of both halves, before de-duplication."""
-    half = [
-        part.where(F.col("p_partkey") % 2 == parity).select(
-            F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("brand"),
-            F.col("p_retailprice").cast(PRICE).alias("price"),
-        )
-        for parity in (0, 1)
-    ]
-    return half[0].unionByName(half[1])
+    return part.where("p_partkey is not null").select(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_type").alias("category"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_retailprice").cast(PRICE).alias("price"),
+    )
 
 
 def customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Customer attributes with their nation as state and region as country."""
     return (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(
             F.col("c_custkey").alias("customer_number"),
             F.col("c_name").alias("customer_name"),

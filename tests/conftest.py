@@ -2,7 +2,7 @@ import tempfile
 
 import pytest
 
-from shelfwise.plans.workspace import workspace
+from shelfwise.plans.workspace import AS_OF, workspace
 from shelfwise.session import builder
 from tests.compare import duck
 
@@ -27,7 +27,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def work(spark):
-    return workspace(spark, FOLDER)
+    return workspace(spark, FOLDER, AS_OF)
 
 
 @pytest.fixture(scope="session")

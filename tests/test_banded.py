@@ -131,6 +131,13 @@ def test_multipliers_keep_all_their_decimals(spark):
     assert [r["price_r"] for r in result.collect()] == [Decimal("123.456"), 999500]
 
 
+def test_wide_and_long_multipliers_are_exact(spark):
+    df = frame(spark, [row(price="33.33", days=1.0), row(price="33.33", days=9.0)])
+    bands = [("days_in_stock", "<", 0.0, 5.0, None, 0.1234567), ("days_in_stock", ">", 5.0, 0.0, None, 1000.5)]
+    result, _ = banded.apply_banded_rules(df, one_rule(spark, *bands))
+    assert [r["price_r"] for r in result.collect()] == [Decimal("4.114811811"), Decimal("33346.665")]
+
+
 def test_usage_counts_each_row_once_per_rule(spark, work):
     from shelfwise.plans import queries as Q
 

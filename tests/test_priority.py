@@ -87,6 +87,20 @@ def test_unusable_rules_fail_before_a_job_runs(spark):
         apply_priority_rules(df, rules(spark, ("Stock_Level + 1", 1.0, 1)))
 
 
+def test_misspelled_columns_are_no_words(spark):
+    df = priced(spark, ("10", "9", 1, "5", "1", "Bulk"))
+    with pytest.raises(ValueError, match="Competitor_Prize"):
+        apply_priority_rules(df, rules(spark, ("Our_Price = Competitor_Prize", 1.0, 1)))
+    with pytest.raises(ValueError, match="Othr"):
+        apply_priority_rules(df, rules(spark, ("Promotion_Type = Othr", 1.0, 1)), words=["Bulk", "Loyal"])
+
+
+def test_large_tables_and_percentages(spark):
+    df = priced(spark, ("10", "9", 101, "2.9", "0.9", "Bulk"))
+    many = [(f"Stock_Level > {3000 - i}", float(i), i) for i in range(2000)]
+    assert discounts(df, rules(spark, *many, ("true", 12345.0, 5000))) == [12345]
+
+
 def test_amounts_are_rounded_half_up(spark):
     df = priced(spark, ("0.10", "9", 1, "5", "1", "Loyal"), ("10.10", "9", 1, "5", "1", "Loyal"))
     marked = with_markdown_amounts(df.withColumn("Optimal_Discount_Pct", F.lit(Decimal("5.0000"))))

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from shelfwise.plans import oracle
+from shelfwise.plans import queries as plans
 from tests.compare import difference
 from tests.conftest import FOLDER
 
-QUERIES = entry_point.queries()
+QUERIES = plans.queries()
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -15,7 +17,9 @@ def test_same_rows_as_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(oracle.oracle_sql())
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(oracle.oracle_sql()) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry_has_a_stable_schema(spark):

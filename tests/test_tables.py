@@ -10,11 +10,14 @@ from shelfwise.operators import dims, facts
 from shelfwise.operators.conform import conformed_sales
 from shelfwise.operators.joins import lookup
 from shelfwise.operators.keys import number_members, with_row_id
-from shelfwise.operators.quality import assert_unique, member_usage, row_counts
+from shelfwise.operators.quality import assert_found, assert_unique, member_usage, row_counts
+from shelfwise.plans.queries import queries
 from shelfwise.plans.star import load_star
+from shelfwise.plans.workspace import Workspace
 from shelfwise.sinks import staging, tables
 from shelfwise.sources import seeds
 from shelfwise.sources.files import read_csv, read_parquet, read_table
+from shelfwise.sources.retail import customers
 from shelfwise.types import RETAIL_A, RETAIL_B, TABLES, table
 from shelfwise.types import COUNT, NUMBER, PRICE, TEXT
 
@@ -91,25 +94,53 @@ def test_staged_tables_lie_in_the_named_folder(spark):
     assert df.count() == 10
 
 
-def test_spread_leaves_wide_input_alone(spark):
-    wide = spark.range(0, 100, 1, 64)
-    assert staging.spread(wide) is wide
-    assert staging.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 8
-
-
-def test_keys_are_the_same_in_one_sort_and_in_slices(spark):
+def test_keys_follow_the_natural_key_over_slices(spark):
     names = spark.range(5000).select(
         F.when(F.col("id") > 0, F.concat(F.lit("n"), F.xxhash64("id").cast("string"))).alias("name")
     )
-    stored = staging.stage(names, "test/names")
-    one = number_members(stored, "k", ["name"])
-    many = number_members(stored, "k", ["name"], one_sort_rows=10, slice_rows=300)
-    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
-    assert one.where("k = 1").first()["name"] is None
-    assert {r[0] for r in many.select("k").collect()} == set(range(1, 5001))
-    # The second way gives no task the whole table.
-    slices = many.inputFiles()
-    assert len(slices) > 10
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = number_members(names, "k", ["name"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    ordered = sorted((r["name"] for r in names.collect()), key=lambda n: (n is not None, n or ""))
+    assert sorted(map(tuple, numbered.collect())) == list(enumerate(ordered, 1))
+    # No task numbers the whole table.
+    assert len(numbered.inputFiles()) > 4
+    assert number_members(names.limit(0), "k", ["name"]).count() == 0
+
+
+def test_replaced_tables_give_new_rows(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    for name in ("lineitem", "part", "orders"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{source}/{name}.parquet")
+    plan = queries()["conformed_sales"]
+    rows = plan(spark, str(tmp_path)).count()
+    (tmp_path / "lineitem.parquet").unlink()
+    spark.read.parquet(f"{source}/lineitem.parquet").limit(100).coalesce(1).write.parquet(
+        str(tmp_path / "lineitem.parquet")
+    )
+    assert plan(spark, str(tmp_path)).count() == 100 < rows
+
+
+def test_workspace_is_dated_today_unless_told(spark):
+    assert Workspace(spark, "/nowhere").as_of.date() == dt.date.today()
+
+
+def test_missing_members_are_found(spark):
+    days = spark.createDataFrame([(20250101,)], "date_key long")
+    facts_ = spark.createDataFrame([(20250101,), (None,)], "date_key long")
+    assert_found(facts_, "date_key", days, "fact")
+    with pytest.raises(ValueError, match="20250102"):
+        assert_found(facts_.unionAll(spark.createDataFrame([(20250102,)], "date_key long")), "date_key", days, "fact")
+
+
+def test_customers_without_a_nation_stay(spark):
+    customer = spark.createDataFrame([(1, "c", 9)], "c_custkey long, c_name string, c_nationkey long")
+    nation = spark.createDataFrame([], "n_nationkey long, n_name string, n_regionkey long")
+    region = spark.createDataFrame([], "r_regionkey long, r_name string")
+    assert customers(customer, nation, region).collect()[0].asDict()["state"] is None
 
 
 def retail(spark, rows_a, rows_b):
