@@ -59,7 +59,7 @@ def _model(windows: DataFrame, order: int) -> DataFrame:
     for k in range(order + 1):
         gram = F.expr(f"right(window, {k + 1})")
         grams = windows.groupBy(gram.alias("gram")).agg(*(F.sum(c).alias(c) for c in kinds))
-        context = F.expr(f"left(gram, {k})") if k else F.lit("")
+        context = F.expr(f"left(gram, {k})")
         contexts = grams.groupBy(context.alias("context")).agg(
             *(F.sum(c).alias(f"{c}_all") for c in kinds), *(F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in kinds)
         )
