@@ -101,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.col(id_col).cast("long").alias("doc_id"),
         F.substring(text, (F.pmod(F.xxhash64(F.col(id_col)), spare) + 1).cast("int"), F.lit(CHARACTERS)).cast("binary").alias("text"),
     )
-    rows = texts.join(ids, "doc_id").where("text is not null").dropDuplicates(["doc_id", "example"]).orderBy("doc_id").collect()
+    rows = texts.join(F.broadcast(ids), "doc_id").where("text is not null").dropDuplicates(["doc_id", "example"]).orderBy("doc_id").collect()
     examples = {k: [bytes(r.text) for r in rows if r.example and r.label == k] for k in (0, 1)}
     good, bad = _dictionary(examples[1]), _dictionary(examples[0])
     seen = {r.doc_id for r in rows if r.example}
