@@ -42,6 +42,16 @@ retail_a AS (
   FROM retail_base WHERE l_partkey % 2 = 0
 )"""
 
+PRICED = """
+priced_lines AS (
+  SELECT product_id, category, season, original_price,
+    CAST(original_price * CAST(80 + (l_orderkey * 3 + l_suppkey) % 41 AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS competitor_price,
+    qty AS historical_sales, stock_level, customer_ratings, promotion_type, seasonality_factor,
+    CAST((l_orderkey * 7 + l_linenumber) % 45 AS INT) AS days_in_stock, CAST(l_partkey % 101 AS INT) AS trend_score,
+    CAST(original_price * CAST(0.6 AS DECIMAL(2,1)) AS DECIMAL(12,4)) AS unit_cost
+  FROM retail_base
+)"""
+
 RETAIL_B = """
 retail_b AS (
   SELECT product_id, category, brand, season, original_price,
@@ -257,6 +267,7 @@ fact_customer_feedback AS (
 
 # --- priority rules
 
+# Conditions and discounts, in the order of their priority.
 PRIORITY_CASE = """CASE WHEN stock_level > 100 AND customer_ratings < 3.0 THEN 60 WHEN our > competitor_price THEN 15
     WHEN seasonality_factor < 1.0 THEN 20 WHEN promotion_type = 'Bulk' THEN 10 WHEN customer_ratings < 3.0 THEN 25
     WHEN customer_ratings >= 4.5 THEN 0 WHEN promotion_type = 'Loyal' THEN 5 ELSE 0 END"""
@@ -264,7 +275,7 @@ PRIORITY_CASE = """CASE WHEN stock_level > 100 AND customer_ratings < 3.0 THEN 6
 
 def _priority(our: str) -> str:
     return f"""
-discounted AS (SELECT *, CAST({PRIORITY_CASE} AS DECIMAL(8,4)) AS pct FROM (SELECT *, {our} AS our FROM retail_a)),
+discounted AS (SELECT *, CAST({PRIORITY_CASE} AS DECIMAL(8,4)) AS pct FROM (SELECT *, {our} AS our FROM priced_lines)),
 marked AS (SELECT *, CAST(our * pct * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,2)) AS amount FROM discounted)"""
 
 
@@ -294,7 +305,7 @@ MEASURED = f"""
 signals AS (
   SELECT product_id, category, upper(season) AS season, original_price, historical_sales AS units, unit_cost,
     CAST(days_in_stock AS DOUBLE) AS days_in_stock, customer_ratings AS product_rating, trend_score, {RATES}
-  FROM retail_a
+  FROM priced_lines
 )"""
 
 ASSUMED = f"""
@@ -302,9 +313,10 @@ signals AS (
   SELECT product_id, category, upper(season) AS season, original_price, historical_sales AS units,
     CAST(original_price * CAST(0.6 AS DECIMAL(2,1)) AS DECIMAL(12,4)) AS unit_cost, CAST(15 AS DOUBLE) AS days_in_stock,
     customer_ratings AS product_rating, CAST(50 AS DOUBLE) AS trend_score, {RATES}
-  FROM retail_a
+  FROM priced_lines
 )"""
 
+# Multipliers of the bands.
 MULTIPLIERS = {
     "expiry": """CASE WHEN days_in_stock BETWEEN 0 AND 2 THEN 0.40 WHEN days_in_stock BETWEEN 3 AND 7 THEN 0.55
       WHEN days_in_stock BETWEEN 8 AND 14 THEN 0.75 WHEN days_in_stock BETWEEN 15 AND 21 THEN 0.80
@@ -347,7 +359,7 @@ def _banded_view(rules: list[str]) -> str:
   markdown_reason, raw AS raw_recommended_price, floor_price, floor_price > raw AS floor_bound{prices} FROM recommended"""
 
 
-# Bands in evaluation order: (rule, id, trigger, place, operator, min, max, text, multiplier, discount, condition)
+# Fixed values, in evaluation order: (rule, id, trigger, place, operator, min, max, text, multiplier, discount)
 BANDS = """
 bands(rule_name, rule_id, trigger_column, evaluation_order, condition_operator, condition_min, condition_max,
     condition_str_value, price_multiplier, discount_pct) AS (VALUES
@@ -426,7 +438,7 @@ def _usage_of(dim: str, key: str, cte: str = "") -> str:
 
 
 def _banded(rules: list[str], signals: str = MEASURED) -> str:
-    return _with(_banded_view(rules), BASE, RETAIL_A, signals, _recommended(rules))
+    return _with(_banded_view(rules), BASE, PRICED, signals, _recommended(rules))
 
 
 _COUNTED = (
@@ -439,16 +451,16 @@ _COUNTED = (
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "priority_rules_own_price": _with(PRIORITY_VIEW, BASE, RETAIL_A, OWN),
-        "priority_rules_fallback": _with(PRIORITY_VIEW, BASE, RETAIL_A, FALLBACK),
+        "priority_rules_own_price": _with(PRIORITY_VIEW, BASE, PRICED, OWN),
+        "priority_rules_fallback": _with(PRIORITY_VIEW, BASE, PRICED, FALLBACK),
         "price_baseline": _with(
-            f'SELECT product_id AS "Product_ID", competitor_price AS "Competitor_Price", {FALLBACK_PRICE} AS "Our_Price" FROM retail_a',
-            BASE, RETAIL_A,
+            f'SELECT product_id AS "Product_ID", competitor_price AS "Competitor_Price", {FALLBACK_PRICE} AS "Our_Price" FROM priced_lines',
+            BASE, PRICED,
         ),
         "markdown_amounts": _with(
             """SELECT product_id AS "Product_ID", our AS "Our_Price", pct AS "Optimal_Discount_Pct", amount AS "Markdown_Amount",
   CAST(our - amount AS DECIMAL(14,2)) AS "Final_Marked_Down_Price" FROM marked""",
-            BASE, RETAIL_A, OWN,
+            BASE, PRICED, OWN,
         ),
         "conformed_sales": _with("SELECT * FROM sales", *RAW, SALES),
         "conformed_inventory": _with("SELECT * FROM inventory", *RAW, INVENTORY),
@@ -462,7 +474,7 @@ def oracle_sql() -> dict[str, str]:
   CAST(discount_pct AS DOUBLE) AS discount_pct, evaluation_order, priced_rows
 FROM usage WHERE rule_name IN ('EXPIRY', 'SEASONAL', 'TRENDING')
 ORDER BY rule_id, condition_min NULLS FIRST, condition_max NULLS FIRST, condition_str_value NULLS FIRST""",
-            BASE, RETAIL_A, MEASURED, BANDS,
+            BASE, PRICED, MEASURED, BANDS,
         ),
         "rules_grouped": _with(
             """SELECT rule_id, rule_name, count(*) AS bands,
@@ -471,19 +483,19 @@ ORDER BY rule_id, condition_min NULLS FIRST, condition_max NULLS FIRST, conditio
     CAST(CAST(price_multiplier AS DECIMAL(10,2)) AS VARCHAR)), '; ' ORDER BY evaluation_order) AS conditions,
   CAST(sum(priced_rows) AS BIGINT) AS priced_rows
 FROM usage GROUP BY rule_id, rule_name""",
-            BASE, RETAIL_A, MEASURED, BANDS,
+            BASE, PRICED, MEASURED, BANDS,
         ),
         "pricing_signals": _with(
             "SELECT product_id, sell_through_rate, competitor_gap_pct, days_in_stock, product_rating, trend_score, unit_cost FROM signals",
-            BASE, RETAIL_A, MEASURED,
+            BASE, PRICED, MEASURED,
         ),
         "pricing_signals_assumed": _with(
             "SELECT product_id, sell_through_rate, competitor_gap_pct, days_in_stock, product_rating, trend_score, unit_cost FROM signals",
-            BASE, RETAIL_A, ASSUMED,
+            BASE, PRICED, ASSUMED,
         ),
         "banded_rule_prices": _with(
             "SELECT product_id, category, original_price, " + ", ".join(f"price_{r}" for r in ALL_RULES) + " FROM recommended",
-            BASE, RETAIL_A, MEASURED, _recommended(ALL_RULES),
+            BASE, PRICED, MEASURED, _recommended(ALL_RULES),
         ),
         "banded_rules_subset": _banded(["seasonal", "competitor"]),
         "banded_single_rule": _banded(["expiry"]),
@@ -495,7 +507,7 @@ FROM usage GROUP BY rule_id, rule_name""",
   gross_amount, net_amount, CAST(gross_amount - net_amount AS DECIMAL(20,2)) AS discount_amount
 FROM (SELECT *, CAST(original_price * units AS DECIMAL(20,2)) AS gross_amount,
   CAST(recommended_price * units AS DECIMAL(20,2)) AS net_amount FROM recommended)""",
-            BASE, RETAIL_A, MEASURED, _recommended(ALL_RULES),
+            BASE, PRICED, MEASURED, _recommended(ALL_RULES),
         ),
         "product_trends": _with(
             """SELECT product_id, original_price, trend_id, trend_type, trend_score, trend_direction, trend_source,

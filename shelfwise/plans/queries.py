@@ -22,8 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _priority_input(w: Workspace, own_price: bool) -> DataFrame:
-    """Source a under the column names that the rule texts use."""
-    df = w.retail_a.select(
+    """All lines under the column names that the rule texts use."""
+    df = w.retail_priced.select(
         F.col("product_id").alias("Product_ID"),
         *([F.col("original_price").alias("Our_Price")] if own_price else []),
         F.col("competitor_price").alias("Competitor_Price"),
@@ -94,8 +94,8 @@ def normalized_columns(w: Workspace) -> DataFrame:
 
 
 def _measured(w: Workspace) -> DataFrame:
-    """Source a with its signals; seasons in the upper case that the rules use."""
-    df = w.retail_a.select(
+    """All lines with their signals; seasons in the upper case that the rules use."""
+    df = w.retail_priced.select(
         "product_id", "category", F.upper("season").alias("season"), "original_price",
         "competitor_price", "stock_level", "days_in_stock", "trend_score", "unit_cost",
         F.col("customer_ratings").alias("product_rating"),
@@ -105,7 +105,7 @@ def _measured(w: Workspace) -> DataFrame:
 
 
 def _assumed(w: Workspace) -> DataFrame:
-    df = w.retail_a.select(
+    df = w.retail_priced.select(
         "product_id", "category", F.upper("season").alias("season"), "original_price",
         "competitor_price", "stock_level", "historical_sales", "customer_ratings",
     )
@@ -216,11 +216,15 @@ def product_trends(w: Workspace) -> DataFrame:
 
 
 def dim_price_range(w: Workspace) -> DataFrame:
-    return quality.member_usage(w.dim_price_range, "price_range_key", w.fact_sales)
+    dims = {"dim_price_range": w.dim_price_range}
+    sales = facts.by_price_range(conformed_sales(w), "original_price", dims)
+    return quality.member_usage(w.dim_price_range, "price_range_key", sales)
 
 
 def dim_stock_level(w: Workspace) -> DataFrame:
-    return quality.member_usage(w.dim_stock_level, "stock_level_key", w.fact_sales)
+    dims = {"dim_stock_level": w.dim_stock_level}
+    sales = facts.by_stock_level(conformed_sales(w), "stock_level", dims)
+    return quality.member_usage(w.dim_stock_level, "stock_level_key", sales)
 
 
 def dim_store(w: Workspace) -> DataFrame:
@@ -236,12 +240,13 @@ def dim_channel(w: Workspace) -> DataFrame:
 
 def price_band_join(w: Workspace) -> DataFrame:
     lines = conformed_inventory(w).select("product_id", "original_price")
-    return facts.by_price_range(lines, "original_price", w.dims, "price_segment")
+    dims = {"dim_price_range": w.dim_price_range}
+    return facts.by_price_range(lines, "original_price", dims, "price_segment")
 
 
 def stock_level_join(w: Workspace) -> DataFrame:
     lines = conformed_inventory(w).select("product_id", "stock_quantity")
-    return facts.by_stock_level(lines, "stock_quantity", w.dims)
+    return facts.by_stock_level(lines, "stock_quantity", {"dim_stock_level": w.dim_stock_level})
 
 
 def markdown_effectiveness(w: Workspace) -> DataFrame:

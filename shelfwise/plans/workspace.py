@@ -61,6 +61,10 @@ class Workspace:
         )
         return stage(retail.retail_lines(base), "retail_lines", partition_by=["source"])
 
+    @cached_property
+    def retail_priced(self) -> DataFrame:
+        return retail.retail_priced(self.lines)
+
     @cached_property
     def retail_a(self) -> DataFrame:
         return retail.retail_a(self.lines)

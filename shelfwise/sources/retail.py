@@ -87,11 +87,16 @@ ONLY_A = (
     "trend_score", "unit_cost",
 )
 ONLY_B = ("current_price", "markdown_percentage", "is_returned", "return_reason")
+# What the rule engines price by, known for the lines of both halves.
+PRICING = (
+    "competitor_price", "historical_sales", "promotion_type", "seasonality_factor",
+    "days_in_stock", "trend_score", "unit_cost",
+)
 
 
 def retail_lines(base: DataFrame) -> DataFrame:
-    """Both halves side by side, as they are stored: columns of the other half are
-    NULL, which takes no room in a column file and no work to compute."""
+    """Both halves side by side, as they are stored: columns that only the other half
+    has are NULL, which takes no room in a column file and no work to compute."""
     order, supp, part, line = (
         F.col(c) for c in ("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber")
     )
@@ -127,12 +132,17 @@ def retail_lines(base: DataFrame) -> DataFrame:
     source = F.col("source")
     return base.select(
         *SHARED,
-        *[F.when(source == "a", of_a[c]).alias(c) for c in ONLY_A],
+        *[(of_a[c] if c in PRICING else F.when(source == "a", of_a[c])).alias(c) for c in ONLY_A],
         *[F.when(source == "b", of_b[c]).alias(c) for c in ONLY_B],
         "source",
     )
 
 
+def retail_priced(lines: DataFrame) -> DataFrame:
+    """The lines of both halves with all that the rule engines price by."""
+    return lines.select(*SHARED, *PRICING)
+
+
 def retail_a(lines: DataFrame) -> DataFrame:
     """Half 'a': trial markdowns, sales after each, and pricing signals."""
     return lines.where(F.col("source") == "a").select(*SHARED, *ONLY_A)

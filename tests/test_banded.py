@@ -143,7 +143,11 @@ def test_usage_counts_each_row_once_per_rule(spark, work):
 
     usage = Q.rules_grouped(work)
     counts = {r["rule_name"]: r["priced_rows"] for r in usage.collect()}
-    assert counts["SALES_VELOCITY"] == 2968 and counts["SEASONAL"] <= 2968
+    # Of 6,000 lines 203 have no stock, so no sell-through rate.
+    assert counts == {
+        "EXPIRY": 4165, "SALES_VELOCITY": 5797, "SEASONAL": 3106, "COMPETITOR": 5274,
+        "PRODUCT_RATING": 5853, "TRENDING": 6000,
+    }
 
 
 def test_signals(spark):

@@ -52,12 +52,12 @@ def test_bands(work):
 
 def test_priority_discounts(work):
     own = counted(Q.priority_rules_own_price(work), "Optimal_Discount_Pct")
-    # 60, 15, 20, 10, 25, 5 % by one rule each; 0 % by rule 6 (115 rows) or no rule (247).
+    # 60, 15, 20, 10, 25, 5 % by one rule each; 0 % by rule 6 (214 rows) or no rule (479).
     assert {float(k): v for k, v in own.items()} == {
-        60: 848, 15: 995, 20: 300, 10: 195, 25: 188, 5: 80, 0: 362
+        60: 1613, 15: 2095, 20: 610, 10: 404, 25: 409, 5: 176, 0: 693
     }
     fallback = counted(Q.priority_rules_fallback(work), "Optimal_Discount_Pct")
-    assert {float(k): v for k, v in fallback.items()} == {60: 848, 15: 2120}
+    assert {float(k): v for k, v in fallback.items()} == {60: 1613, 15: 4387}
 
 
 def test_banded_reasons(work):
@@ -65,6 +65,6 @@ def test_banded_reasons(work):
         F.count("*").alias("n"), F.count_if("floor_bound").alias("bound")
     ).collect()
     assert Counter({r[0]: r[1] for r in rows}) == {
-        "EXPIRY": 972, "SALES_VELOCITY": 1715, "COMPETITOR": 41, "PRODUCT_RATING": 160, "TRENDING": 80
+        "EXPIRY": 2130, "SALES_VELOCITY": 3210, "COMPETITOR": 83, "PRODUCT_RATING": 368, "TRENDING": 209
     }
-    assert {r[0]: r[2] for r in rows if r[2]} == {"EXPIRY": 501}
+    assert {r[0]: r[2] for r in rows if r[2]} == {"EXPIRY": 1062}
