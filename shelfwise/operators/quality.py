@@ -17,6 +17,19 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return spark.sql(" UNION ALL ".join(counts), **tables)
 
 
+def column_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per column of each table: its place and type. Reads no rows."""
+    spark = next(iter(tables.values())).sparkSession
+    columns = [
+        (name, place, f.name, f.dataType.simpleString())
+        for name, df in tables.items()
+        for place, f in enumerate(df.schema, 1)
+    ]
+    return spark.createDataFrame(
+        columns, "table_name string, position int, column_name string, data_type string"
+    )
+
+
 def member_usage(dim: DataFrame, key: str, facts: DataFrame) -> DataFrame:
     """Dimension rows with the number of fact rows that refer to them."""
     used = facts.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("fact_rows"))

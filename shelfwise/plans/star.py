@@ -9,6 +9,7 @@ from shelfwise.operators.keys import with_row_id
 from shelfwise.operators.quality import assert_found, assert_unique, row_counts
 from shelfwise.plans.workspace import Workspace
 from shelfwise.sinks.tables import ensure_database, load_table, overwrite_table
+from shelfwise.sources import seeds
 from shelfwise.types import TABLES
 
 # The column that facts find a member by, per dimension.
@@ -27,10 +28,12 @@ OTHER_DIMS = (
 
 
 def load_star(work: Workspace, database: str, fmt: str = "parquet") -> DataFrame:
-    """Write raw, dimension and fact tables and return their row counts.
+    """Write raw, dimension, fact and rule tables and return their row counts.
 
-    Every table is replaced, so a second load leaves the same rows. Facts are built
-    from the dimension tables just written, whose natural keys have to be unique.
+    Raw, dimension and fact tables are replaced, so a second load leaves the same rows.
+    Facts are built from the dimension tables just written, whose natural keys have to be
+    unique. The rule and trend tables get the standard rows when they are created; after that
+    they are the caller's to change.
     """
     spark = work.spark
     ensure_database(spark, database)
@@ -63,5 +66,15 @@ def load_star(work: Workspace, database: str, fmt: str = "parquet") -> DataFrame
         if "date_key" in TABLES[name].names:
             assert_found(spark.table(target(name)), "date_key", dims["dim_date"], name)
 
-    loaded = ("retail_a", "retail_b", *dims, *built)
+    day = work.as_of.date()
+    standard = {
+        "banded_rules": seeds.banded_rules(spark, day),
+        "priority_rules": seeds.priority_rules(spark),
+        "product_trends": seeds.product_trends(spark, day),
+    }
+    for name, rows in standard.items():
+        if not spark.catalog.tableExists(target(name)):
+            load_table(rows, target(name), TABLES[name], fmt)
+
+    loaded = ("retail_a", "retail_b", *dims, *built, *standard)
     return row_counts({name: spark.table(target(name)) for name in loaded})

@@ -73,6 +73,16 @@ class Workspace:
     def retail_b(self) -> DataFrame:
         return retail.retail_b(self.lines)
 
+    @cached_property
+    def products(self) -> DataFrame:
+        return retail.products(self.table("part"))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return retail.customers(
+            self.table("customer"), self.table("nation"), self.table("region")
+        )
+
     @cached_property
     def dim_category(self) -> DataFrame:
         members = dims.category_members(self.retail_a, self.retail_b)
@@ -105,16 +115,14 @@ class Workspace:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        members = dims.product_members(retail.products(self.table("part")))
+        members = dims.product_members(self.products)
         return self._dimension(
             "dim_product", members, dims.dim_product, self.dim_category, self.dim_brand, self.as_of
         )
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return dims.dim_customer(
-            retail.customers(self.table("customer"), self.table("nation"), self.table("region"))
-        )
+        return dims.dim_customer(self.customers)
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -169,6 +177,36 @@ class Workspace:
         return facts.fact_customer_feedback(self.retail_b, self.dims, self.as_of)
 
 
+class RawWorkspace(Workspace):
+    """Workspace of a caller's own raw tables, for instance from ``read_csv``.
+
+    ``raw_a`` has four trial markdowns a row, ``raw_b`` one markdown and returns;
+    ``products`` has ``dims.PRODUCT_COLUMNS``, ``customers`` customer_number, customer_name,
+    state and country. The calendar runs over the default days, ``as_of`` and the flat date.
+    """
+
+    def __init__(
+        self,
+        raw_a: DataFrame,
+        raw_b: DataFrame,
+        products: DataFrame,
+        customers: DataFrame,
+        as_of: dt.datetime | None = None,
+    ):
+        super().__init__(raw_a.sparkSession, "", as_of)
+        self.retail_a, self.retail_b = raw_a, raw_b
+        self.products, self.customers = products, customers
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        days = (dims.FIRST_DAY, dims.LAST_DAY, self.as_of.date(), facts.FLAT_DATE)
+        return dims.dim_date(self.spark, min(days), max(days))
+
+    @cached_property
+    def star_date(self) -> DataFrame:
+        return self.dim_date
+
+
 _open: dict[tuple[str, str, dt.datetime | None], tuple[tuple, Workspace]] = {}
 
 

@@ -4,8 +4,12 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.operators import banded, dims, facts, kpis, priority
+from shelfwise.operators.quality import column_report
+from shelfwise.plans.star import load_star
+from shelfwise.plans.workspace import RawWorkspace
 from shelfwise.sinks.staging import stage
 from shelfwise.sources import seeds
 from shelfwise.sources.files import read_csv
@@ -68,6 +72,29 @@ def test_star(spark, raw):
     assert [r["return_reason"] for r in returned] == ["Size Issue"]
 
 
+def test_load_of_the_star_and_pricing_from_its_tables(spark, raw):
+    a, b = raw
+    products = a.select("product_id", F.col("product_id").alias("product_name"), "category", "brand", F.col("original_price").alias("price"))
+    customers = spark.createDataFrame(
+        [(7, "Ann", "Ohio", None)], "customer_number long, customer_name string, state string, country string"
+    )
+    name = "csv"
+    rows = {r[0]: r[1] for r in load_star(RawWorkspace(a, b, products, customers, NOW), name, "orc").collect()}
+    assert (rows["fact_sales"], rows["dim_product"], rows["banded_rules"], rows["priority_rules"]) == (5, 3, 25, 7)
+    days = spark.table(f"{name}.fact_sales").join(spark.table(f"{name}.dim_date"), "date_key")
+    assert days.count() == 5 and days.first()["full_date"] == NOW.date()
+
+    result, _ = banded.apply_banded_rules(banded.assumed_signals(spark.table(f"{name}.retail_a")), spark.table(f"{name}.banded_rules"))
+    assert {r["product_id"]: r["markdown_reason"] for r in result.collect()}["P1"] == "SALES_VELOCITY"
+    priced = priority.apply_priority_rules(
+        priority.with_baseline_price(spark.table(f"{name}.retail_a")), spark.table(f"{name}.priority_rules")
+    )
+    assert {r["product_id"]: r["Optimal_Discount_Pct"] for r in priced.collect()} == {"P1": 60, "P2": 15, "P3": 15}
+
+    report = column_report({t: spark.table(f"{name}.{t}") for t in ("dim_date", "priority_rules")}).collect()
+    assert ("priority_rules", 3, "condition", "string") in set(map(tuple, report)) and len(report) == 15
+
+
 def test_rule_engines(spark, raw):
     a = raw[0]
     signals = banded.assumed_signals(a)
