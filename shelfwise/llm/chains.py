@@ -7,14 +7,16 @@
 3. Per document and holder, ordered matches are chained with linear gap costs through a Fenwick
    tree of best scores over the document's places.
 4. Chains that can reach the least length are aligned on the words of both whole texts: over the gaps
-   between seeds, and beyond both ends, across single changed, missing or added words.
+   between seeds, and beyond both ends, across single changed, missing or added words. A short chain
+   can, too, where every seed around it is shared: shorter pieces of its passage may stand in
+   still earlier documents, which then are the first holders of the seeds beside it.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ RUN = 4  # equal words that must follow a changed one at a chain's end
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 SEEDS = "doc_id long, n_words int, hashes array<long>, places array<int>"
-CHAINS = "doc_id long, source_id long, starts array<int>, source_starts array<int>"
+CHAINS = "doc_id long, source_id long, chains array<array<struct<place int, source_place int>>>"
 PASSAGES = "doc_id long, start int, n_words int, source_id long, source_start int, source_words int, matched int"
 
 
@@ -107,20 +109,40 @@ def chain(matches: list[tuple[int, int]], k: int = K, gap: int = GAP, cost: floa
     return chains
 
 
+def shared_places(places: list[int], matched: set[int], k: int, least: int) -> set[int]:
+    """Seeds of runs that are matched without a break and span ``least`` words."""
+    out: set[int] = set()
+    for found, run in groupby(sorted(set(places)), matched.__contains__):
+        stretch = list(run)
+        if found and stretch[-1] + k - stretch[0] >= least:
+            out.update(stretch)
+    return out
+
+
 def _chains(k: int, neighbours: int, min_words: int):
-    reach = 2 * neighbours  # words that a passage can extend beyond its outer seeds
+    least = min_words - 2 * neighbours  # a passage can extend so far beyond its outer seeds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, source, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for path in chain([(m["place"], m["source_place"]) for m in places], k):
-                    if path[-1][0] + k - path[0][0] + reach >= min_words:
-                        out.append((doc_id, source, *map(list, zip(*path, strict=True))))
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+            for doc_id, matches, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                sources: dict[int, list[tuple[int, int]]] = {}
+                for m in matches:
+                    sources.setdefault(m["source_id"], []).append((m["place"], m["source_place"]))
+                shared = shared_places(places, {m["place"] for m in matches}, k, least)
+                for source, pairs in sources.items():
+                    found = [
+                        [{"place": p, "source_place": q} for p, q in path]
+                        for path in chain(pairs, k)
+                        if path[-1][0] + k - path[0][0] >= least or any(p in shared for p, _ in path)
+                    ]
+                    if found:
+                        out.append((doc_id, source, found))
+            columns = list(zip(*out, strict=True)) or [[]] * 3
+            path = pa.list_(pa.struct([("place", pa.int32()), ("source_place", pa.int32())]))
+            kinds = (pa.int64(), pa.int64(), pa.list_(path))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "source_id", "starts", "source_starts"]
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "source_id", "chains"]
             )
 
     return run
@@ -173,15 +195,17 @@ def _align(k: int, min_words: int, identity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            ids = zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
-            for (doc_id, source, starts, places), own, other in zip(ids, batch.column(4), batch.column(5), strict=True):
-                a, b = (hashes(blank_words(x.as_py())) for x in (own, other))
-                path = [(p, q) for p, q in zip(starts, places, strict=True) if p + k <= len(a) and q + k <= len(b)]
-                if not path:
-                    continue
-                start, end, from_, to, equal = align(a.tolist(), b.tolist(), path, k)
-                if end - start >= min_words and equal >= identity * max(end - start, to - from_):
-                    out.append((doc_id, start, end - start, source, from_, to - from_, equal))
+            ids = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+            for (doc_id, source, paths), own, other in zip(ids, batch.column(3), batch.column(4), strict=True):
+                a, b = (hashes(blank_words(x.as_py())).tolist() for x in (own, other))
+                for matches in paths:
+                    pairs = ((m["place"], m["source_place"]) for m in matches)
+                    path = [(p, q) for p, q in pairs if p + k <= len(a) and q + k <= len(b)]
+                    if not path:
+                        continue
+                    start, end, from_, to, equal = align(a, b, path, k)
+                    if end - start >= min_words and equal >= identity * max(end - start, to - from_):
+                        out.append((doc_id, start, end - start, source, from_, to - from_, equal))
             columns = list(zip(*out, strict=True)) or [[]] * 7
             names = [c.split()[0] for c in PASSAGES.split(", ")]
             kinds = [pa.int64() if "long" in c else pa.int32() for c in PASSAGES.split(", ")]
@@ -198,7 +222,8 @@ def passages(
     doc_id, start, n_words, source_id, source_start, source_words, matched. Places count the
     document's words (between ASCII white space, case ignored).
 
-    Each passage is tied to one earlier holder, not to all. Null, empty and short texts have none;
+    Each passage is tied to one earlier holder, not to all. One whose every seed stands in shorter
+    pieces of still earlier documents is not found. Null, empty and short texts have none;
     rows without an id take no part; rows that repeat an id count as one document; passages
     repeated only inside one document are not reported; an empty table gives no rows.
     """
@@ -214,14 +239,16 @@ def passages(
         "shared-seeds",
     )
     matches = seeds.join(shared, "seed").where("doc_id > source_id")
-    paired = matches.groupBy("doc_id", "source_id").agg(F.collect_list(F.struct("place", "source_place")).alias("places"))
+    # No more matches than the document has seeds, as each points to one holder.
+    matched = matches.groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "place", "source_place")).alias("matches"))
+    paired = matched.join(packed.select("doc_id", "places"), "doc_id")
     chained = stored(paired.mapInArrow(_chains(k, neighbours, min_words), CHAINS), "chains")
     needed = chained.select("doc_id").unionAll(chained.select("source_id")).distinct()
     texts = stored(rows.join(needed, "doc_id", "left_semi"), "chain-texts")
     own = texts.select("doc_id", F.col("text").alias("own"))
     other = texts.select(F.col("doc_id").alias("source_id"), F.col("text").alias("other"))
     both = chained.join(own, "doc_id").join(other, "source_id")
-    both = both.select("doc_id", "source_id", "starts", "source_starts", "own", "other")
+    both = both.select("doc_id", "source_id", "chains", "own", "other")
     return both.mapInArrow(_align(k, min_words, identity), PASSAGES).distinct()
 
 

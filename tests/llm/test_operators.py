@@ -223,6 +223,19 @@ def test_passages(spark, docs, no_docs):
     assert _collect(chains.passages(no_docs)) == []
 
 
+def test_passages_whose_pieces_stand_in_earlier_documents(spark):
+    """Pieces shorter than a passage are no passages, and don't hide the whole ones behind them."""
+    passage = _text(50, 60).split()
+    rows = [
+        (0, " ".join([_text(51, 30), *passage[:45], _text(52, 30)])),
+        (1, " ".join([_text(53, 30), *passage[52:], _text(54, 30)])),
+        *((i, " ".join([_text(50 + 2 * i, 20 + i), *passage, _text(51 + 2 * i, 40)])) for i in range(4, 8)),
+    ]
+    found = _collect(chains.passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    got = sorted((r["doc_id"], r["source_id"], r["start"], r["n_words"], r["matched"]) for r in found)
+    assert got == [(i, 4, 20 + i, 60, 60) for i in range(5, 8)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60)), max_size=25))
 def test_best_chain_is_the_best(matches):
