@@ -118,27 +118,19 @@ def top_k(
     whole = F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("long"))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(sound, whole).alias("v"))
     rows = stored(rows.where("id is not null and v is not null").distinct(), "vectors")
-    blocks = _packed(rows, BLOCK, "block")
-    groups = _packed(rows.where(F.col("id") % every == 0), QUERIES, "queries")
-    # Each block meets each group of queries: numbers of blocks and groups, joined by equality.
-    numbers = stored(groups.select("number"), "groups")
-    n = numbers.count()
-    if not n:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    spread = blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("number"))
-    pairs = groups.join(spread, "number").select("queries", "block").repartition(F.xxhash64("block"), F.xxhash64("queries"))
+    blocks, _ = _packed(rows, BLOCK, "block")
+    groups, n = _packed(rows.where(F.col("id") % every == 0), QUERIES, "queries")
+    # Each block meets each group of queries by its number. A number may have no queries.
+    spread = blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("pack"))
+    pairs = groups.join(spread, "pack").select("queries", "block").repartition(F.xxhash64("block"), F.xxhash64("queries"))
     found = pairs.mapInArrow(_search(k), FOUND).distinct()
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _packed(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Rows dealt by their ids' hash into packs of about ``size``, numbered from 0."""
+def _packed(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
+    """Rows dealt by their ids' hash into packs of about ``size``, and the number of packs."""
     packs = max(1, -(-rows.count() // size))
-    number = F.pmod(F.xxhash64("id"), F.lit(packs))
-    packed = rows.groupBy(number.alias("pack")).agg(F.collect_list(F.struct("id", "v")).alias(name))
-    if name != "queries":
-        return packed.select(name)
-    # Packs are few: one for each ``size`` queries.
-    return packed.select((F.row_number().over(Window.orderBy("pack")) - 1).alias("number"), name)
+    pack = F.pmod(F.xxhash64("id"), F.lit(packs)).cast("int")
+    return rows.groupBy(pack.alias("pack")).agg(F.collect_list(F.struct("id", "v")).alias(name)), packs
