@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,12 +33,11 @@ def column_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def member_usage(dim: DataFrame, key: str, facts: DataFrame) -> DataFrame:
     """Dimension rows with the number of fact rows that refer to them."""
-    used = facts.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("fact_rows"))
-    return (
-        dim.join(used, F.col(key) == F.col("_key"), "left")
-        .drop("_key")
-        .fillna(0, subset=["fact_rows"])
-    )
+    # Members without facts count, too, so each is found by equality, also where all facts have one key.
+    member = F.col(key).alias("_key")
+    marked = dim.select(member, F.lit(0).alias("_n")).unionAll(facts.select(member, F.lit(1).alias("_n")))
+    used = marked.groupBy("_key").agg(F.sum("_n").alias("fact_rows"))
+    return dim.join(used, F.col(key) == F.col("_key")).drop("_key")
 
 
 def assert_unique(df: DataFrame, columns: Sequence[str], name: str) -> None:
@@ -47,6 +47,17 @@ def assert_unique(df: DataFrame, columns: Sequence[str], name: str) -> None:
         raise ValueError(f"{name} is not unique on {list(columns)}: {twice[0].asDict()}")
 
 
+def assert_unique_keys(tables: Mapping[str, tuple[DataFrame, str]]) -> None:
+    """Fail if a key stands twice in its table; one job for all tables."""
+    keys = [
+        df.select(F.lit(name).alias("name"), F.col(key).cast("string").alias("key"))
+        for name, (df, key) in tables.items()
+    ]
+    every = reduce(DataFrame.unionAll, keys)
+    if rows := every.groupBy("name", "key").count().where("count > 1").take(1):
+        raise ValueError(f"{rows[0]['name']} holds {rows[0]['key']} more than once")
+
+
 def assert_found(df: DataFrame, key: str, dimension: DataFrame, name: str) -> None:
     """Fail if a key of ``df`` is no member of the dimension; one row is fetched at most."""
     missing = df.where(F.col(key).isNotNull()).select(key).distinct().join(dimension, key, "left_anti")

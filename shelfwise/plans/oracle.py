@@ -171,6 +171,13 @@ dim_date AS (
     FROM (SELECT min(CAST(o_orderdate AS DATE)) AS first, max(CAST(o_orderdate AS DATE)) AS last FROM orders))
 )"""
 
+STAR_DATE = """
+star_date AS (
+  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, year(d) AS year, month(d) AS month FROM (
+    SELECT unnest(generate_series(least(min(CAST(o_orderdate AS DATE)), DATE '2025-01-01'),
+      greatest(max(CAST(o_orderdate AS DATE)), DATE '2025-06-30'), INTERVAL 1 DAY)) AS d FROM orders)
+)"""
+
 DIM_CUSTOMER = """
 dim_customer AS (
   SELECT c_custkey AS customer_key, concat('CUST', CAST(c_custkey AS VARCHAR)) AS customer_id, c_name AS customer_name,
@@ -453,6 +460,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "priority_rules_own_price": _with(PRIORITY_VIEW, BASE, PRICED, OWN),
         "priority_rules_fallback": _with(PRIORITY_VIEW, BASE, PRICED, FALLBACK),
+        "priority_rules_unquoted": _with(PRIORITY_VIEW, BASE, PRICED, OWN),
         "price_baseline": _with(
             f'SELECT product_id AS "Product_ID", competitor_price AS "Competitor_Price", {FALLBACK_PRICE} AS "Our_Price" FROM priced_lines',
             BASE, PRICED,
@@ -464,9 +472,17 @@ def oracle_sql() -> dict[str, str]:
         ),
         "conformed_sales": _with("SELECT * FROM sales", *RAW, SALES),
         "conformed_inventory": _with("SELECT * FROM inventory", *RAW, INVENTORY),
-        "normalized_columns": _with(
-            "SELECT product_id, current_price, markdown_percentage, stock_quantity FROM retail_b",
-            BASE, RETAIL_B,
+        "normalized_columns": _with("SELECT * FROM retail_b", BASE, RETAIL_B),
+        "normalized_columns_a": _with("SELECT * FROM retail_a", BASE, RETAIL_A),
+        "renamed_columns": _with(
+            """SELECT product_id AS "Product_Id", category AS "Category", brand AS "Brand", season AS "Season",
+  original_price AS "Original_Price", competitor_price AS "Competitor_Price", markdown_1 AS "Markdown_1", markdown_2 AS "Markdown_2",
+  markdown_3 AS "Markdown_3", markdown_4 AS "Markdown_4", historical_sales AS "Historical_Sales", sales_after_m1 AS "Sales_After_M1",
+  sales_after_m2 AS "Sales_After_M2", sales_after_m3 AS "Sales_After_M3", sales_after_m4 AS "Sales_After_M4",
+  optimal_discount AS "Optimal_Discount", stock_level AS "Stock_Level", customer_ratings AS "Customer_Ratings",
+  promotion_type AS "Promotion_Type", seasonality_factor AS "Seasonality_Factor", return_rate AS "Return_Rate",
+  days_in_stock AS "Days_In_Stock", trend_score AS "Trend_Score", unit_cost AS "Unit_Cost" FROM retail_a""",
+            BASE, RETAIL_A,
         ),
         "rules_selected": _with(
             """SELECT rule_id, rule_name, trigger_column, condition_operator, CAST(condition_min AS DOUBLE) AS condition_min,
@@ -602,6 +618,15 @@ FROM inventory""",
             + " LIMIT 20",
             *STAR,
         ),
+        "fact_dates": _with(
+            """SELECT table_name, CAST(year AS INT) AS year, CAST(month AS INT) AS month, CAST(sum(n) AS BIGINT) AS fact_rows FROM (
+  SELECT 'fact_sales' AS table_name, date_key, count(*) AS n FROM fact_sales GROUP BY date_key
+  UNION ALL SELECT 'fact_inventory', date_key, count(*) FROM fact_inventory GROUP BY date_key
+  UNION ALL SELECT 'fact_markdown_analytics', date_key, count(*) FROM fact_markdown_analytics GROUP BY date_key
+  UNION ALL SELECT 'fact_customer_feedback', date_key, count(*) FROM fact_customer_feedback GROUP BY date_key
+) LEFT JOIN star_date USING (date_key) GROUP BY table_name, year, month""",
+            *STAR, FACT_INVENTORY, FACT_MARKDOWN, FACT_FEEDBACK, STAR_DATE,
+        ),
         "load_row_counts": _with(
             "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _COUNTED),
             *STAR, DIM_STORE, DIM_CHANNEL, DIM_DATE, DIM_CUSTOMER, DIM_PRODUCT, FACT_INVENTORY, FACT_MARKDOWN, FACT_FEEDBACK,

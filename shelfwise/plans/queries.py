@@ -11,12 +11,15 @@ from shelfwise.functions import classify
 from shelfwise.functions.names import normalize_names
 from shelfwise.operators import banded, conform, facts, kpis, priority, quality
 from shelfwise.operators.joins import lookup
+from shelfwise.plans.star import NATURAL_KEYS
 from shelfwise.plans.workspace import AS_OF, Workspace, workspace
 from shelfwise.sinks.tables import preview
 from shelfwise.sources import seeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+_FACTS = ("fact_sales", "fact_inventory", "fact_markdown_analytics", "fact_customer_feedback")
+
 
 # --- priority rules -------------------------------------------------------------
 
@@ -56,6 +59,14 @@ def priority_rules_fallback(w: Workspace) -> DataFrame:
     return _marked_down(w, own_price=False).select(*_PRIORITY_VIEW)
 
 
+def priority_rules_unquoted(w: Workspace) -> DataFrame:
+    """The rules with bare words for texts, as they are often typed."""
+    bare = F.regexp_replace("condition", r"'(\w+)'", "$1")
+    rules = seeds.priority_rules(w.spark).withColumn("condition", bare)
+    priced = priority.apply_priority_rules(_priority_input(w, own_price=True), rules)
+    return priority.with_markdown_amounts(priced).select(*_PRIORITY_VIEW)
+
+
 def price_baseline(w: Workspace) -> DataFrame:
     return _priority_input(w, own_price=False).select(
         "Product_ID", "Competitor_Price", "Our_Price"
@@ -80,14 +91,22 @@ def conformed_inventory(w: Workspace) -> DataFrame:
     return conform.conformed_inventory(w.retail_a, w.retail_b)
 
 
+def _headed(df: DataFrame) -> DataFrame:
+    """All columns under headings with blanks and capitals, as raw files have them."""
+    return df.toDF(*(c.replace("_", " ").title() for c in df.columns))
+
+
 def normalized_columns(w: Workspace) -> DataFrame:
-    headed = w.retail_b.select(
-        F.col("product_id").alias("Product ID"),
-        F.col("current_price").alias("Current Price"),
-        F.col("markdown_percentage").alias("Markdown Percentage"),
-        F.col("stock_quantity").alias("Stock Quantity"),
-    )
-    return normalize_names(headed)
+    return normalize_names(_headed(w.retail_b))
+
+
+def normalized_columns_a(w: Workspace) -> DataFrame:
+    return normalize_names(_headed(w.retail_a))
+
+
+def renamed_columns(w: Workspace) -> DataFrame:
+    """Blanks go from the names, capitals stay."""
+    return normalize_names(_headed(w.retail_a), lower=False)
 
 
 # --- banded rules -----------------------------------------------------------------
@@ -228,11 +247,13 @@ def dim_stock_level(w: Workspace) -> DataFrame:
 
 
 def dim_store(w: Workspace) -> DataFrame:
-    return quality.member_usage(w.dim_store, "store_key", w.fact_sales)
+    sales = conformed_sales(w).select(F.lit(facts.DEFAULT_STORE).alias("store_key"))
+    return quality.member_usage(w.dim_store, "store_key", sales)
 
 
 def dim_channel(w: Workspace) -> DataFrame:
-    return quality.member_usage(w.dim_channel, "channel_key", w.fact_sales)
+    sales = conformed_sales(w).select(F.lit(facts.DEFAULT_CHANNEL).alias("channel_key"))
+    return quality.member_usage(w.dim_channel, "channel_key", sales)
 
 
 # --- lookups and classes row by row --------------------------------------------------
@@ -305,23 +326,45 @@ def preview_fact_sales(w: Workspace) -> DataFrame:
     return preview(sales, 20, [F.asc_nulls_first(c) for c in sales.columns])
 
 
+def fact_dates(w: Workspace) -> DataFrame:
+    """Rows of each fact by the month that the calendar has for their day; a day that the calendar
+    lacks would show as a row without year and month."""
+    counts = None
+    for name in _FACTS:
+        rows = getattr(w, name).groupBy("date_key").agg(F.count("*").alias("n"))
+        rows = rows.select(F.lit(name).alias("table_name"), "date_key", "n")
+        counts = rows if counts is None else counts.unionAll(rows)
+    days = w.star_date.select(F.col("date_key").alias("_day"), "year", "month")
+    found = lookup(counts, F.col("date_key"), days, "_day", "year", "month")
+    return found.groupBy("table_name", "year", "month").agg(F.sum("n").alias("fact_rows"))
+
+
 def load_row_counts(w: Workspace) -> DataFrame:
+    """Rows of each table of the star. A fact has the rows of its source, as it finds its members
+    by left joins on natural keys; that these are unique is checked first."""
+    quality.assert_unique_keys({n: (w.dims[n], key) for n, key in NATURAL_KEYS.items()})
     tables = {"retail_a": w.retail_a, "retail_b": w.retail_b} | w.dims
-    others = (
-        "dim_store", "dim_channel", "dim_date", "dim_customer", "dim_product", "fact_sales",
-        "fact_inventory", "fact_markdown_analytics", "fact_customer_feedback",
-    )
-    return quality.row_counts(tables | {name: getattr(w, name) for name in others})
+    others = ("dim_store", "dim_channel", "dim_date", "dim_customer", "dim_product")
+    sources = {
+        "fact_sales": conformed_sales(w),
+        "fact_inventory": conformed_inventory(w),
+        "fact_markdown_analytics": w.retail_a,
+        "fact_customer_feedback": w.retail_b,
+    }
+    return quality.row_counts(tables | {name: getattr(w, name) for name in others} | sources)
 
 
 _PLANS: dict[str, Callable[[Workspace], DataFrame]] = {
     "priority_rules_own_price": priority_rules_own_price,
     "priority_rules_fallback": priority_rules_fallback,
+    "priority_rules_unquoted": priority_rules_unquoted,
     "price_baseline": price_baseline,
     "markdown_amounts": markdown_amounts,
     "conformed_sales": conformed_sales,
     "conformed_inventory": conformed_inventory,
     "normalized_columns": normalized_columns,
+    "normalized_columns_a": normalized_columns_a,
+    "renamed_columns": renamed_columns,
     "rules_selected": rules_selected,
     "rules_grouped": rules_grouped,
     "pricing_signals": pricing_signals,
@@ -361,6 +404,7 @@ _PLANS: dict[str, Callable[[Workspace], DataFrame]] = {
     "fact_sales_profit": fact_sales_profit,
     "fact_markdown_uplift": fact_markdown_uplift,
     "preview_fact_sales": preview_fact_sales,
+    "fact_dates": fact_dates,
     "load_row_counts": load_row_counts,
 }
 

@@ -23,7 +23,7 @@ def plan(df, mode="simple"):
 @pytest.mark.parametrize("name", queries())
 def test_no_cross_product_and_no_python_rows(spark, name):
     text = plan(queries()[name](spark, FOLDER))
-    assert "CartesianProduct" not in text
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert "PythonUDF" not in text and "EvalPython" not in text
 
 
@@ -47,6 +47,12 @@ def test_facts_broadcast_dimensions_and_stay_in_place(spark, name, joins):
     assert "hashpartitioning" not in text and "rangepartitioning" not in text
 
 
+def test_counting_rows_joins_no_dimension(spark):
+    """Only products look up their category and brand, and customers their nation and region."""
+    text = plan(queries()["load_row_counts"](spark, FOLDER))
+    assert len(re.findall(r"\w*Join\b", text)) <= 4
+
+
 def test_larger_dimensions_are_not_broadcast(spark, work):
     """Beyond the threshold the same code joins by shuffling, with the same rows."""
     small = facts.fact_customer_feedback(work.retail_b, work.dims, work.as_of)
