@@ -4,8 +4,8 @@
    of 19 words or more share at least one.
 2. Each seed points to its first holder (least document id, then place). So a passage in a thousand
    documents gives a thousand links, not all pairs, and joins stay in proportion to the text.
-3. Per document and holder, ordered matches are chained with linear gap costs through a Fenwick
-   tree of best scores over the document's places.
+3. Per document and holder, ordered matches are chained with linear gap costs through a tree of
+   best scores over the document's places, among the matches that a chain can still bridge to.
 4. Chains that can reach the least length are aligned on the words of both whole texts: over the gaps
    between seeds, and beyond both ends, across single changed, missing or added words. A short chain
    can, too, where every seed around it is shared: shorter pieces of its passage may stand in
@@ -15,6 +15,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
 from itertools import groupby, pairwise
 
@@ -76,27 +78,49 @@ def _seeds(k: int, neighbours: int):
 def chain(matches: list[tuple[int, int]], k: int = K, gap: int = GAP, cost: float = GAP_COST) -> list[list[tuple[int, int]]]:
     """Disjoint chains of matches that ascend in both texts, best first.
 
-    Score: ``k`` for each match, less ``cost`` for each word of either text from match to match. The
-    Fenwick tree holds, over places in the first text, the best score with its start's cost added.
+    Score: ``k`` for each match, less ``cost`` for each word of either text from match to match. A match
+    follows the best of those at most ``gap`` + ``k`` words before it in both texts. A tree over places in
+    the first text holds the best scores with their starts' costs added; matches that lie too far back in
+    the second text are taken out of it.
     """
     order = sorted(set(matches), key=lambda m: (m[1], -m[0]))
-    rank = {p: i + 1 for i, p in enumerate(sorted({m[0] for m in order}))}
-    tree: list[tuple[float, int]] = [(0.0, -1)] * (len(rank) + 1)
-    scores, before = [0.0] * len(order), [-1] * len(order)
+    places = sorted({m[0] for m in order})
+    n, none = len(places), (0.0, -1)
+    tree: list[tuple[float, int]] = [none] * (2 * n)
+    live: list[deque[tuple[float, int]]] = [deque() for _ in places]  # per place: falling scores, oldest first
+    ranks = [bisect_left(places, m[0]) for m in order]
+
+    def put(r: int) -> None:
+        entry, x = live[r][0] if live[r] else none, r + n
+        tree[x] = entry
+        while x > 1:
+            x >>= 1
+            tree[x] = max(tree[2 * x], tree[2 * x + 1])
+
+    scores, before, old = [0.0] * len(order), [-1] * len(order), 0
     for i, (a, b) in enumerate(order):
-        best, r = (0.0, -1), rank[a] - 1
-        while r:
-            best = max(best, tree[r])
-            r &= r - 1
-        j = best[1]
-        if j >= 0 and best[0] - cost * (a + b) > 0 and a - order[j][0] <= gap + k and b - order[j][1] <= gap + k:
-            scores[i], before[i] = k + best[0] - cost * (a + b), j
-        else:
-            scores[i] = float(k)
-        r, entry = rank[a], (scores[i] + cost * (a + b), i)
-        while r < len(tree):
-            tree[r] = max(tree[r], entry)
-            r += r & -r
+        while order[old][1] < b - gap - k:
+            waiting = live[ranks[old]]
+            if waiting and waiting[0][1] == old:
+                waiting.popleft()
+                put(ranks[old])
+            old += 1
+        best, x, y = none, bisect_left(places, a - gap - k) + n, ranks[i] + n
+        while x < y:
+            if x & 1:
+                best, x = max(best, tree[x]), x + 1
+            if y & 1:
+                y -= 1
+                best = max(best, tree[y])
+            x, y = x >> 1, y >> 1
+        scores[i] = float(k)
+        if best[1] >= 0 and best[0] - cost * (a + b) > 0:
+            scores[i], before[i] = k + best[0] - cost * (a + b), best[1]
+        entry, waiting = (scores[i] + cost * (a + b), i), live[ranks[i]]
+        while waiting and waiting[-1] < entry:
+            waiting.pop()
+        waiting.append(entry)
+        put(ranks[i])
     used, chains = [False] * len(order), []
     for i in sorted(range(len(order)), key=lambda i: -scores[i]):
         path = []

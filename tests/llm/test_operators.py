@@ -254,6 +254,46 @@ def test_best_chain_is_the_best(matches):
         assert score == pytest.approx(max(best.values()))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 25)), st.sets(st.integers(0, 25)), st.sets(st.tuples(st.integers(0, 250), st.integers(0, 250)), max_size=20))
+def test_all_chains_within_the_gap_are_the_best(one, two, others):
+    """With the production gap, every chain is that of a quadratic search: two stretches and strays."""
+    matches = [(5 * i, 5 * i) for i in one] + [(200 + 5 * i, 200 + 5 * i) for i in two] + sorted(others)
+    k, cost, reach = chains.K, chains.GAP_COST, chains.GAP + chains.K
+    order = sorted(set(matches), key=lambda m: (m[1], -m[0]))
+    score, before = [], []
+    for i, (a, b) in enumerate(order):
+        near = [(score[j] + cost * (x + y), j) for j, (x, y) in enumerate(order[:i]) if 0 < a - x <= reach and 0 < b - y <= reach]
+        best, j = max(near, default=(0.0, -1))
+        linked = j >= 0 and best - cost * (a + b) > 0
+        score.append(k + best - cost * (a + b) if linked else float(k))
+        before.append(j if linked else -1)
+    used, expected = set(), []
+    for i in sorted(range(len(order)), key=lambda i: -score[i]):
+        path = []
+        while i >= 0 and i not in used:
+            used.add(i)
+            path.append(order[i])
+            i = before[i]
+        if path:
+            expected.append(path[::-1])
+    assert chains.chain(matches) == expected
+
+
+def test_second_passage_of_a_pair(spark):
+    """A long passage does not keep a later, edited one of the same two documents from being found."""
+    long, second = _text(70, 200).split(), _text(71, 100).split()
+    edited = [f"new{i}" if i % 15 == 14 else w for i, w in enumerate(second)]
+    assert len(chains.chain([(i, i) for i in range(0, 200, 6)] + [(i, i) for i in range(260, 360, 6)])) == 2
+    rows = [
+        (1, " ".join([*long, *_text(72, 60).split(), *second])),
+        (2, " ".join([*long, *_text(73, 60).split(), *edited])),
+    ]
+    found = _collect(chains.passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert any(r["start"] < 10 and r["n_words"] >= 200 for r in found)
+    assert any(r["start"] >= 250 and r["n_words"] >= 50 for r in found)
+
+
 def test_backoff_scores(docs, no_docs):
     found = _collect(backoff.scores(docs))
     words = [(i, blank_words((t or "").encode())) for i, t, *_ in _rows()]
