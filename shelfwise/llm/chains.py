@@ -10,12 +10,14 @@
    between seeds, and beyond both ends, across single changed, missing or added words. A short chain
    can, too, where every seed around it is shared: shorter pieces of its passage may stand in
    still earlier documents, which then are the first holders of the seeds beside it.
+5. Where a shared seed is in no passage found so, all runs of the least length around it point to
+   the first holder of the whole run, whatever earlier documents hold of its pieces.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Iterator
 from itertools import groupby, pairwise
@@ -39,6 +41,7 @@ WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 SEEDS = "doc_id long, n_words int, hashes array<long>, places array<int>"
 CHAINS = "doc_id long, source_id long, chains array<array<struct<place int, source_place int>>>"
+RUNS = "doc_id long, seed long, place int"
 PASSAGES = "doc_id long, start int, n_words int, source_id long, source_start int, source_words int, matched int"
 
 
@@ -143,8 +146,8 @@ def shared_places(places: list[int], matched: set[int], k: int, least: int) -> s
     return out
 
 
-def _chains(k: int, neighbours: int, min_words: int):
-    least = min_words - 2 * neighbours  # a passage can extend so far beyond its outer seeds
+def _chains(k: int, least: int, gap: int, cost: float):
+    """Chains of each pair of documents that span ``least`` words or stand among shared seeds only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,7 +160,7 @@ def _chains(k: int, neighbours: int, min_words: int):
                 for source, pairs in sources.items():
                     found = [
                         [{"place": p, "source_place": q} for p, q in path]
-                        for path in chain(pairs, k)
+                        for path in chain(pairs, k, gap, cost)
                         if path[-1][0] + k - path[0][0] >= least or any(p in shared for p, _ in path)
                     ]
                     if found:
@@ -172,6 +175,61 @@ def _chains(k: int, neighbours: int, min_words: int):
     return run
 
 
+def _stretches(places: list[int], ok: set[int], n_words: int, k: int, edge: int, min_words: int) -> list[tuple[int, int]]:
+    """Ranges of starts of runs of ``min_words`` words whose inner seeds are all in ``ok``. Inner seeds
+    lie ``edge`` places from both ends of a run or more: each holder of the run has the same ones."""
+    reach = min_words - k - edge
+    ends = [-(edge + 1), *sorted({p for p in places if p not in ok}), n_words + min_words]
+    starts = ((max(0, u - edge + 1), min(n_words - min_words, v - reach - 1)) for u, v in pairwise(ends))
+    return [(lo, hi) for lo, hi in starts if lo <= hi]
+
+
+def _open_seeds(k: int, neighbours: int, min_words: int):
+    """Seeds in and beside a shared seed outside the found passages, where a whole run may be repeated."""
+    edge = neighbours - 1
+    reach = min_words - k - edge
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: set[int] = set()
+            for n_words, seeds, places, shared, spans in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                ok = set(shared)
+                inside = [(x["start"], x["start"] + x["n_words"] - k) for x in spans or ()]
+                left = [p for p in places if p in ok and not any(a <= p <= b for a, b in inside)]
+                for lo, hi in _stretches(places, ok, n_words, k, edge, min_words) if left else ():
+                    for t in left[bisect_left(left, lo + edge) : bisect_right(left, hi + reach)]:
+                        a, b = max(lo, t - reach) + edge, min(hi, t - edge) + reach
+                        out.update(seeds[bisect_left(places, a) : bisect_right(places, b)])
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64())], names=["seed"])
+
+    return run
+
+
+def _whole_runs(k: int, neighbours: int, min_words: int):
+    """Hashes of the runs of ``min_words`` words with open inner seeds only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, found, at = [], [], []
+            for doc_id, n_words, places, ok, text in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                ranges = _stretches(places, set(ok), n_words, k, neighbours - 1, min_words)
+                words = hashes(blank_words(text)) if ranges else []
+                for lo, hi in ranges:
+                    h = runs(words[lo : hi + min_words], min_words).view(np.int64)
+                    ids += [doc_id] * len(h)
+                    found.append(h)
+                    at.append(np.arange(lo, lo + len(h), dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids, pa.int64()), pa.array(np.concatenate(found) if found else [], pa.int64()),
+                    pa.array(np.concatenate(at) if at else [], pa.int32()),
+                ],
+                names=["doc_id", "seed", "place"],
+            )
+
+    return run
+
+
 def _common(a: list, b: list) -> int:
     """Length of the longest common subsequence of two short lists."""
     row = [0] * (len(b) + 1)
@@ -246,8 +304,10 @@ def passages(
     doc_id, start, n_words, source_id, source_start, source_words, matched. Places count the
     document's words (between ASCII white space, case ignored).
 
-    Each passage is tied to one earlier holder, not to all. One whose every seed stands in shorter
-    pieces of still earlier documents is not found. Null, empty and short texts have none;
+    Each passage is tied to one earlier holder, not to all. A repeated run of ``min_words`` unchanged words
+    is found whatever earlier documents hold of its pieces; where one holds a passage of its middle, up to
+    ``neighbours`` + ``k`` words at its ends may be left out. A changed passage without such a run is not found if its every
+    seed stands in shorter pieces of still earlier documents. Null, empty and short texts have none;
     rows without an id take no part; rows that repeat an id count as one document; passages
     repeated only inside one document are not reported; an empty table gives no rows.
     """
@@ -257,16 +317,43 @@ def passages(
     seeds = packed.select("doc_id", F.explode(F.arrays_zip("hashes", "places")).alias("s")).select(
         "doc_id", F.col("s.hashes").alias("seed"), F.col("s.places").alias("place")
     )
+    matches = _matches(seeds, "shared-seeds")
+    # No more matches than the document has seeds, as each points to one holder.
+    matched = matches.groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "place", "source_place")).alias("matches"))
+    paired = stored(matched.join(packed.select("doc_id", "n_words", "hashes", "places"), "doc_id"), "matched")
+    least = min_words - 2 * neighbours  # a passage can extend so far beyond its outer seeds
+    chained = paired.select("doc_id", "matches", "places").mapInArrow(_chains(k, least, GAP, GAP_COST), CHAINS)
+    found = stored(_aligned(rows, chained, k, min_words, identity), "found")
+    if min_words - k < 2 * (neighbours - 1):
+        return found
+    # Seeds whose holder has no passage there: whole runs of words point to the first holder of the run.
+    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words")).alias("spans"))
+    sides = paired.join(spans, "doc_id", "left").select("n_words", "hashes", "places", F.col("matches.place").alias("shared"), "spans")
+    open_ = stored(sides.mapInArrow(_open_seeds(k, neighbours, min_words), "seed long").distinct(), "open-seeds")
+    places = seeds.join(open_, "seed", "left_semi").groupBy("doc_id").agg(F.collect_list("place").alias("open"))
+    asked = packed.select("doc_id", "n_words", "places").join(places, "doc_id").join(rows, "doc_id")
+    whole = stored(
+        asked.select("doc_id", "n_words", "places", "open", "text").mapInArrow(_whole_runs(k, neighbours, min_words), RUNS), "whole-runs"
+    )
+    again = _matches(whole, "shared-runs").groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "place", "source_place")).alias("matches"))
+    again = again.select("doc_id", "matches", F.array().cast("array<int>").alias("places"))
+    chained = again.mapInArrow(_chains(1, 1, 0, 0.0), CHAINS)
+    return found.unionAll(_aligned(rows, chained, k, min_words, identity)).distinct()
+
+
+def _matches(seeds: DataFrame, name: str) -> DataFrame:
+    """Each seed (doc_id, seed, place) with its first holder, if that is an earlier document."""
     first = seeds.groupBy("seed").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max("doc_id").alias("last"))
     shared = stored(
         first.where("last > first.doc_id").select("seed", F.col("first.doc_id").alias("source_id"), F.col("first.place").alias("source_place")),
-        "shared-seeds",
+        name,
     )
-    matches = seeds.join(shared, "seed").where("doc_id > source_id")
-    # No more matches than the document has seeds, as each points to one holder.
-    matched = matches.groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "place", "source_place")).alias("matches"))
-    paired = matched.join(packed.select("doc_id", "places"), "doc_id")
-    chained = stored(paired.mapInArrow(_chains(k, neighbours, min_words), CHAINS), "chains")
+    return seeds.join(shared, "seed").where("doc_id > source_id")
+
+
+def _aligned(rows: DataFrame, chains: DataFrame, k: int, min_words: int, identity: float) -> DataFrame:
+    """The passages around chains, from the texts of both documents."""
+    chained = stored(chains, "chains")
     needed = chained.select("doc_id").unionAll(chained.select("source_id")).distinct()
     texts = stored(rows.join(needed, "doc_id", "left_semi"), "chain-texts")
     own = texts.select("doc_id", F.col("text").alias("own"))

@@ -294,6 +294,19 @@ def test_second_passage_of_a_pair(spark):
     assert any(r["start"] >= 250 and r["n_words"] >= 50 for r in found)
 
 
+def test_passages_behind_overlapping_pieces(spark):
+    """Two earlier documents hold overlapping short pieces, so no seed points to a holder of the whole."""
+    passage = _text(90, 60).split()
+    rows = [
+        (0, " ".join([*_text(91, 30).split(), *passage[:40], *_text(92, 30).split()])),
+        (1, " ".join([*_text(93, 30).split(), *passage[25:], *_text(94, 30).split()])),
+        *((i, " ".join([*_text(90 + 2 * i, 20 + i).split(), *passage, *_text(91 + 2 * i, 40).split()])) for i in range(4, 8)),
+    ]
+    found = _collect(chains.passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    got = sorted((r["doc_id"], r["source_id"], r["start"], r["n_words"], r["matched"]) for r in found)
+    assert got == [(i, 4, 20 + i, 60, 60) for i in range(5, 8)]
+
+
 def test_backoff_scores(docs, no_docs):
     found = _collect(backoff.scores(docs))
     words = [(i, blank_words((t or "").encode())) for i, t, *_ in _rows()]
