@@ -1,15 +1,14 @@
 """Repeated passages, also with small changes, by collinear chaining of shared seeds.
 
-1. Seeds are the minimizers of runs of 8 words (the least of 12 neighbours by hash): equal stretches
-   of 19 words or more share at least one.
+1. Seeds are the minimizers of runs of 6 words (the least of 8 neighbours by hash): equal stretches
+   of 13 words or more share at least one.
 2. Each seed points to its first holder (least document id, then place). So a passage in a thousand
    documents gives a thousand links, not all pairs, and joins stay in proportion to the text.
 3. Per document and holder, ordered matches are chained with linear gap costs through a tree of
    best scores over the document's places, among the matches that a chain can still bridge to.
-4. Chains that can reach the least length are aligned on the words of both whole texts: over the gaps
-   between seeds, and beyond both ends, across single changed, missing or added words. A short chain
-   can, too, where every seed around it is shared: shorter pieces of its passage may stand in
-   still earlier documents, which then are the first holders of the seeds beside it.
+4. Every chain, also of one seed, is aligned on the words of both whole texts: over the gaps between
+   seeds, and beyond both ends, across changed, missing and added words, as far as the equal ones
+   outweigh them.
 5. Where a shared seed is in no passage found so, all runs of the least length around it point to
    the first holder of the whole run, whatever earlier documents hold of its pieces.
 """
@@ -20,7 +19,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Iterator
-from itertools import groupby, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +29,13 @@ from pyspark.sql import functions as F
 from shelfwise.llm.scratch import stored
 from shelfwise.llm.words import blank_words, hashes, runs
 
-K, NEIGHBOURS = 8, 12
+K, NEIGHBOURS = 6, 8
 MIN_WORDS = 50
 IDENTITY = 0.8
 GAP = 40  # words that a chain may bridge
 GAP_COST = 0.25
-RUN = 4  # equal words that must follow a changed one at a chain's end
+PRICES = (2, 3, 4)  # equal words that pay for a changed one beyond a chain's ends; tried in turn
+DROP = 12  # equal words that a passage's end may fall behind its best
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -136,35 +136,19 @@ def chain(matches: list[tuple[int, int]], k: int = K, gap: int = GAP, cost: floa
     return chains
 
 
-def shared_places(places: list[int], matched: set[int], k: int, least: int) -> set[int]:
-    """Seeds of runs that are matched without a break and span ``least`` words."""
-    out: set[int] = set()
-    for found, run in groupby(sorted(set(places)), matched.__contains__):
-        stretch = list(run)
-        if found and stretch[-1] + k - stretch[0] >= least:
-            out.update(stretch)
-    return out
-
-
-def _chains(k: int, least: int, gap: int, cost: float):
-    """Chains of each pair of documents that span ``least`` words or stand among shared seeds only."""
+def _chains(k: int, gap: int, cost: float):
+    """Chains of each pair of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, matches, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc_id, matches in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
                 sources: dict[int, list[tuple[int, int]]] = {}
                 for m in matches:
                     sources.setdefault(m["source_id"], []).append((m["place"], m["source_place"]))
-                shared = shared_places(places, {m["place"] for m in matches}, k, least)
                 for source, pairs in sources.items():
-                    found = [
-                        [{"place": p, "source_place": q} for p, q in path]
-                        for path in chain(pairs, k, gap, cost)
-                        if path[-1][0] + k - path[0][0] >= least or any(p in shared for p, _ in path)
-                    ]
-                    if found:
-                        out.append((doc_id, source, found))
+                    found = chain(pairs, k, gap, cost)
+                    out.append((doc_id, source, [[{"place": p, "source_place": q} for p, q in path] for path in found]))
             columns = list(zip(*out, strict=True)) or [[]] * 3
             path = pa.list_(pa.struct([("place", pa.int32()), ("source_place", pa.int32())]))
             kinds = (pa.int64(), pa.int64(), pa.list_(path))
@@ -240,27 +224,34 @@ def _common(a: list, b: list) -> int:
     return row[-1]
 
 
-def _extend(a: list, b: list, i: int, j: int, step: int) -> tuple[int, int, int]:
-    """Go on from ``(i, j)`` in one direction; (words of a, words of b, equal words)."""
-    start_i, start_j, equal = i, j, 0
-    last = (i, j)
-    while True:
-        while 0 <= i < len(a) and 0 <= j < len(b) and a[i] == b[j]:
-            i, j, equal = i + step, j + step, equal + 1
-            last = (i, j)
-        for di, dj in ((1, 1), (1, 0), (0, 1)):
-            x, y = i + step * di, j + step * dj
-            ahead = [(x + step * n, y + step * n) for n in range(RUN)]
-            if all(0 <= p < len(a) and 0 <= q < len(b) and a[p] == b[q] for p, q in ahead):
-                i, j = x, y
-                break
-        else:
-            return abs(last[0] - start_i), abs(last[1] - start_j), equal
-
-
-def align(a: list, b: list, path: list[tuple[int, int]], k: int) -> tuple[int, int, int, int, int]:
+def _extend(a: list, b: list, i: int, j: int, step: int, price: int) -> tuple[int, int, int]:
+    """Go on from ``(i, j)`` in one direction to the best score: equal words less ``price`` for each changed,
+    missing or added one; (words of a, words of b, equal words). Ends once all paths have lost ``DROP``."""
+    n, m = (len(a) - i, len(b) - j) if step > 0 else (i + 1, j + 1)
+    best, end = 0, (0, 0, 0)
+    reached = {0: (0, 0)}  # by difference of words of b and a: (words of a, equal words)
+    edits = 0
+    while reached:
+        on: dict[int, tuple[int, int]] = {}
+        for d, (x, equal) in reached.items():
+            y = x + d
+            while x < n and y < m and a[i + step * x] == b[j + step * y]:
+                x, y, equal = x + 1, y + 1, equal + 1
+            score = equal - price * edits
+            if score > best:
+                best, end = score, (x, y, equal)
+            if score <= best - DROP:
+                continue
+            for d2, x2 in ((d, x + 1), (d - 1, x + 1), (d + 1, x)):
+                if x2 <= n and x2 + d2 <= m and on.get(d2, (-1, 0)) < (x2, equal):
+                    on[d2] = x2, equal
+        reached, edits = on, edits + 1
+    return end
+
+
+def align(a: list, b: list, path: list[tuple[int, int]], k: int, price: int = 2) -> tuple[int, int, int, int, int]:
     """(start, end, source start, source end, equal words) of the passage around a chain."""
-    back, source_back, equal = _extend(a, b, path[0][0] - 1, path[0][1] - 1, -1)
+    back, source_back, equal = _extend(a, b, path[0][0] - 1, path[0][1] - 1, -1, price)
     i, j = path[0]
     for (p, q), (p2, q2) in pairwise(path):
         i, j = max(i, p), max(j, q)
@@ -269,24 +260,47 @@ def align(a: list, b: list, path: list[tuple[int, int]], k: int) -> tuple[int, i
         if i < p2 or j < q2:
             equal += _common(a[i:p2], b[j:q2])
         i, j = p2, q2
-    on, source_on, more = _extend(a, b, i, j, 1)
+    on, source_on, more = _extend(a, b, i, j, 1, price)
     return path[0][0] - back, i + on, path[0][1] - source_back, j + source_on, equal + more
 
 
+def found_around(a: list, b: list, path: list[tuple[int, int]], k: int, min_words: int, identity: float) -> list[tuple[int, int, int, int, int]]:
+    """Passages around a chain: of the whole chain, else around single matches, with ends that bridge less."""
+
+    def first(part: list[tuple[int, int]]) -> tuple[bool, list[tuple[int, int, int, int, int]]]:
+        """(is it long enough, the passage if it is alike enough, too)"""
+        for price in PRICES:
+            start, end, from_, to, equal = align(a, b, part, k, price)
+            if end - start < min_words:
+                return price != PRICES[0], []
+            if equal >= identity * max(end - start, to - from_):
+                return True, [(start, end, from_, to, equal)]
+        return True, []
+
+    long, out = first(path)
+    if out or not long or len(path) == 1:
+        return out
+    for match in path:
+        if not out or match[0] >= out[-1][1]:
+            out += first([match])[1]
+    return out
+
+
 def _align(k: int, min_words: int, identity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, last, b = [], None, []
             ids = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
             for (doc_id, source, paths), own, other in zip(ids, batch.column(3), batch.column(4), strict=True):
-                a, b = (hashes(blank_words(x.as_py())).tolist() for x in (own, other))
+                a = hashes(blank_words(own.as_py())).tolist()
+                if other != last:  # rows come by source
+                    last, b = other, hashes(blank_words(other.as_py())).tolist()
                 for matches in paths:
                     pairs = ((m["place"], m["source_place"]) for m in matches)
                     path = [(p, q) for p, q in pairs if p + k <= len(a) and q + k <= len(b)]
                     if not path:
                         continue
-                    start, end, from_, to, equal = align(a, b, path, k)
-                    if end - start >= min_words and equal >= identity * max(end - start, to - from_):
+                    for start, end, from_, to, equal in found_around(a, b, path, k, min_words, identity):
                         out.append((doc_id, start, end - start, source, from_, to - from_, equal))
             columns = list(zip(*out, strict=True)) or [[]] * 7
             names = [c.split()[0] for c in PASSAGES.split(", ")]
@@ -321,8 +335,7 @@ def passages(
     # No more matches than the document has seeds, as each points to one holder.
     matched = matches.groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "place", "source_place")).alias("matches"))
     paired = stored(matched.join(packed.select("doc_id", "n_words", "hashes", "places"), "doc_id"), "matched")
-    least = min_words - 2 * neighbours  # a passage can extend so far beyond its outer seeds
-    chained = paired.select("doc_id", "matches", "places").mapInArrow(_chains(k, least, GAP, GAP_COST), CHAINS)
+    chained = paired.select("doc_id", "matches").mapInArrow(_chains(k, GAP, GAP_COST), CHAINS)
     found = stored(_aligned(rows, chained, k, min_words, identity), "found")
     if min_words - k < 2 * (neighbours - 1):
         return found
@@ -336,8 +349,7 @@ def passages(
         asked.select("doc_id", "n_words", "places", "open", "text").mapInArrow(_whole_runs(k, neighbours, min_words), RUNS), "whole-runs"
     )
     again = _matches(whole, "shared-runs").groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "place", "source_place")).alias("matches"))
-    again = again.select("doc_id", "matches", F.array().cast("array<int>").alias("places"))
-    chained = again.mapInArrow(_chains(1, 1, 0, 0.0), CHAINS)
+    chained = again.mapInArrow(_chains(1, 0, 0.0), CHAINS)
     return found.unionAll(_aligned(rows, chained, k, min_words, identity)).distinct()
 
 

@@ -307,6 +307,27 @@ def test_passages_behind_overlapping_pieces(spark):
     assert got == [(i, 4, 20 + i, 60, 60) for i in range(5, 8)]
 
 
+def test_edited_passages_standing_alone(spark):
+    """Of 100-word passages with a word in 8 changed, spread evenly or by chance, most are found."""
+    rng, rows = np.random.default_rng(80), []
+    for i in range(40):
+        words = _text(1000 + i, 100).split()
+        edited = [f"new{j}" if (j % 8 == 7 if i % 2 else rng.random() < 1 / 8) else w for j, w in enumerate(words)]
+        rows.append((i, " ".join([*_text(1100 + i, 60).split(), *words, *_text(1200 + i, 60).split()])))
+        rows.append((100 + i, " ".join([*_text(1300 + i, 60).split(), *edited, *_text(1400 + i, 60).split()])))
+    found = _collect(chains.passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert all(r["source_id"] == r["doc_id"] - 100 and r["matched"] >= 0.8 * r["n_words"] for r in found)
+    assert len({r["doc_id"] for r in found if r["n_words"] >= 80}) >= 36
+
+
+def test_chain_over_unlike_words_is_split():
+    """Two passages that lie too far apart for one are both found."""
+    one, two = list(range(100, 170)), list(range(200, 270))
+    a, b = [*one, *range(1000, 1039), *two], [*one, *range(2000, 2039), *two]
+    path = [(i, i) for i in [*range(0, 64, 5), *range(109, 173, 5)]]
+    assert chains.found_around(a, b, path, 6, 50, 0.8) == [(0, 70, 0, 70, 70), (109, 179, 109, 179, 70)]
+
+
 def test_backoff_scores(docs, no_docs):
     found = _collect(backoff.scores(docs))
     words = [(i, blank_words((t or "").encode())) for i, t, *_ in _rows()]
