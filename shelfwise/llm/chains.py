@@ -41,6 +41,7 @@ WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 SEEDS = "doc_id long, n_words int, hashes array<long>, places array<int>"
 CHAINS = "doc_id long, source_id long, chains array<array<struct<place int, source_place int>>>"
+VIEWS = CHAINS + ", views array<binary>"
 RUNS = "doc_id long, seed long, place int"
 PASSAGES = "doc_id long, start int, n_words int, source_id long, source_start int, source_words int, matched int"
 
@@ -159,6 +160,65 @@ def _chains(k: int, gap: int, cost: float):
     return run
 
 
+def _views(k: int, gap: int, cost: float, min_words: int):
+    """Chains of each pair of documents, and short hashes of the words around those that are not
+    yet of ``min_words`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc_id, matches, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                words = hashes(blank_words(text)).astype("<u2")
+                sources: dict[int, list[tuple[int, int]]] = {}
+                for m in matches:
+                    sources.setdefault(m["source_id"], []).append((m["place"], m["source_place"]))
+                for source, pairs in sources.items():
+                    found = chain(pairs, k, gap, cost)
+                    spans = ((path[0][0], path[-1][0] + k) for path in found)
+                    views = [None if b - a >= min_words else words[max(0, a - 2 * min_words) : b + 2 * min_words].tobytes() for a, b in spans]
+                    out.append((doc_id, source, [[{"place": p, "source_place": q} for p, q in path] for path in found], views))
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            path = pa.list_(pa.struct([("place", pa.int32()), ("source_place", pa.int32())]))
+            kinds = (pa.int64(), pa.int64(), pa.list_(path), pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "source_id", "chains", "views"]
+            )
+
+    return run
+
+
+def reaches(view: list, other: list, path: list[tuple[int, int]], k: int, min_words: int) -> bool:
+    """Whether a chain's passage can have ``min_words`` words, as far as the words around it tell."""
+    lo, from_ = max(0, path[0][0] - 2 * min_words), max(0, path[0][1] - 4 * min_words)
+    start, end, *_ = align(view, other[from_ : path[-1][1] + k + 4 * min_words], [(p - lo, q - from_) for p, q in path], k)
+    return end - start >= min_words
+
+
+def _reaching(k: int, min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, last, b = [], None, []
+            ids = zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
+            for (doc_id, source, paths, views), other in zip(ids, batch.column(4), strict=True):
+                if other != last:  # rows come by source
+                    last, b = other, hashes(blank_words(other.as_py())).astype("<u2").tolist()
+                found = []
+                for matches, view in zip(paths, views, strict=True):
+                    path = [(m["place"], m["source_place"]) for m in matches]
+                    if view is None or reaches(np.frombuffer(view, "<u2").tolist(), b, path, k, min_words):
+                        found.append(matches)
+                if found:
+                    out.append((doc_id, source, found))
+            columns = list(zip(*out, strict=True)) or [[]] * 3
+            path = pa.list_(pa.struct([("place", pa.int32()), ("source_place", pa.int32())]))
+            kinds = (pa.int64(), pa.int64(), pa.list_(path))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "source_id", "chains"]
+            )
+
+    return run
+
+
 def _stretches(places: list[int], ok: set[int], n_words: int, k: int, edge: int, min_words: int) -> list[tuple[int, int]]:
     """Ranges of starts of runs of ``min_words`` words whose inner seeds are all in ``ok``. Inner seeds
     lie ``edge`` places from both ends of a run or more: each holder of the run has the same ones."""
@@ -335,7 +395,12 @@ def passages(
     # No more matches than the document has seeds, as each points to one holder.
     matched = matches.groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "place", "source_place")).alias("matches"))
     paired = stored(matched.join(packed.select("doc_id", "n_words", "hashes", "places"), "doc_id"), "matched")
-    chained = paired.select("doc_id", "matches").mapInArrow(_chains(k, GAP, GAP_COST), CHAINS)
+    # Few chains become passages. Words around a chain tell which; only for those do whole texts move by pair.
+    own = paired.select("doc_id", "matches").join(rows, "doc_id")
+    viewed = stored(own.mapInArrow(_views(k, GAP, GAP_COST, min_words), VIEWS), "views")
+    sided = viewed.join(rows.select(F.col("doc_id").alias("source_id"), F.col("text").alias("other")), "source_id")
+    sided = sided.select("doc_id", "source_id", "chains", "views", "other")
+    chained = sided.mapInArrow(_reaching(k, min_words), CHAINS)
     found = stored(_aligned(rows, chained, k, min_words, identity), "found")
     if min_words - k < 2 * (neighbours - 1):
         return found
