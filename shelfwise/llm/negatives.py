@@ -137,14 +137,28 @@ def _merged(found: Found, scores: np.ndarray, ids: np.ndarray, k: int) -> Found:
     return sorted(found + [(int(s), -int(i)) for s, i in zip(scores, ids, strict=True)], reverse=True)[:k]
 
 
+def _likely(able: np.ndarray, low: np.ndarray, high: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` rows with the highest estimates. Their scores are known first, as a bar for all others."""
+    rows = np.flatnonzero(able)
+    if len(rows) <= k:
+        return rows
+    return rows[np.argpartition((low + high)[rows], len(rows) - k)[len(rows) - k :]]
+
+
 def positives_of(i: int, anchors: Rows, rows: Rows, low: np.ndarray, high: np.ndarray, found: Found, k: int) -> tuple[Found, int]:
     """The ``k`` best rows of the anchor's label, and how many were scored."""
     able = (rows.labels == anchors.labels[i]) & (rows.ids != anchors.ids[i])
-    bar = max(_kth(low[able], k), found[-1][0] if len(found) == k else -np.inf)
+    likely = _scores(rows, _likely(able, low, high, k), anchors, i)
+    bar = _kth(np.concatenate([likely, [s for s, _ in found]]), k)
     chosen = np.flatnonzero(able & (high >= bar))
     return _merged(found, _scores(rows, chosen, anchors, i), rows.ids[chosen], k), len(chosen)
 
 
+def _within(scores: np.ndarray, p: int, least: int, most: int) -> np.ndarray:
+    wide = scores.astype(object) if largest(scores) >= 2**55 else scores
+    return ((100 * wide >= least * p) & (100 * wide <= most * p)).astype(bool)
+
+
 def negatives_of(
     i: int, anchors: Rows, rows: Rows, low: np.ndarray, high: np.ndarray, scores: list[int], found: list[Found], k: int, least: int, most: int,
 ) -> tuple[list[Found], int]:
@@ -152,16 +166,16 @@ def negatives_of(
     able = rows.labels != anchors.labels[i]
     wanted = np.zeros(len(able), bool)
     for p, best in zip(scores, found, strict=True):
-        bottom, top = least * p / 100, most * p / 100
-        slack = 1e-9 * abs(p)
-        within = able & (low >= bottom + slack) & (high <= top - slack)
-        bar = max(_kth(low[within], k), best[-1][0] if len(best) == k else -np.inf, bottom - slack)
+        bottom, top, slack = least * p / 100, most * p / 100, 1e-9 * abs(p)
+        middle = (low + high) / 2
+        likely = _scores(rows, _likely(able & (middle >= bottom) & (middle <= top), low, high, 2 * k), anchors, i)
+        known = likely[_within(likely, p, least, most)]
+        bar = max(_kth(np.concatenate([known, [s for s, _ in best]]), k), bottom - slack)
         wanted |= able & (high >= bar) & (low <= top + slack)
     chosen = np.flatnonzero(wanted)
     exact, ids, out = _scores(rows, chosen, anchors, i), rows.ids[chosen], []
-    wide = exact.astype(object) if largest(exact) >= 2**55 else exact
     for p, best in zip(scores, found, strict=True):
-        fits = ((100 * wide >= least * p) & (100 * wide <= most * p)).astype(bool)
+        fits = _within(exact, p, least, most)
         out.append(_merged(best, exact[fits], ids[fits], k))
     return out, len(chosen)
 
