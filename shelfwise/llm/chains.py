@@ -455,15 +455,24 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column holds the spans to cut from ``text``."""
     for batch in batches:
-        spans = [[(s["start"], s["n_words"]) for s in found or ()] for found in batch.column("spans").to_pylist()]
-        texts = [cut_words(t, s) if s else t for t, s in zip(batch.column("text").to_pylist(), spans, strict=True)]
+        spans = [[(s["start"], s["n_words"]) for s in found or ()] for found in batch.column(batch.num_columns - 1).to_pylist()]
         i = batch.schema.get_field_index("text")
-        field = batch.schema.field(i)
-        yield batch.set_column(i, field, pa.array(texts, field.type)).drop_columns(["spans"])
+        texts = [cut_words(t, s) if s else t for t, s in zip(batch.column(i).to_pylist(), spans, strict=True)]
+        columns, fields = batch.columns[:-1], list(batch.schema)[:-1]
+        columns[i] = pa.array(texts, fields[i].type)
+        yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
 
 
 def without_passages(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, ...) less the found passages; their first holder keeps them."""
-    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words")).alias("spans"))
-    return docs.join(spans, "doc_id", "left").select(*docs.columns, "spans").mapInArrow(_cut, docs.schema)
+    """``docs`` (doc_id, text, ...) less the found passages; their first holder keeps them. Passages are
+    places in the text of an id: rows that share an id, but not the text, stay as they are."""
+    name = "_spans"
+    while name in docs.columns:
+        name = f"_{name}"
+    text = F.xxhash64("text")
+    several = docs.groupBy("doc_id").agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a <> b")
+    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words")).alias(name))
+    spans = spans.join(several, "doc_id", "left_anti")
+    return docs.join(spans, "doc_id", "left").select(*docs.columns, name).mapInArrow(_cut, docs.schema)

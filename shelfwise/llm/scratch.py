@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,13 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. Without one, as in tests, a local folder that
-    only fits a session without other machines."""
+    """The folder in ``spark.checkpoint.dir``. Without one, as in tests, a temporary folder; only a
+    session on one machine gets that."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="shelfwise-")

@@ -3,7 +3,8 @@
 The tokenizers library needs about 15 microseconds a word. Documents repeat their words, so a
 worker remembers the ids of the words it has met. Text is only cut where the tokenizer itself
 always cuts (at single blanks and line ends between other characters); a text with any other
-white space is given to the tokenizer whole, so the ids are those of whole texts in every case.
+white space, or with one of the vocabulary's added tokens, is given to the tokenizer whole, so the
+ids are those of whole texts in every case.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: A worker forgets all words beyond this many; bounds its memory to some 250 MB.
-MEMO = 1_000_000
+#: A worker forgets all words once they and their ids take so many bytes.
+MEMO = 64 << 20
+#: Bytes of a remembered word besides its characters and ids.
+ENTRY = 200
 
 PUNCTUATION = ".,!?;:|#$%&*()[]{}\"'-_/<>=+~^@`\\"
 
@@ -38,7 +41,8 @@ class Encoder:
 
     def __init__(self, name: str, spaced: bool) -> None:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
+        # Where a text holds one of these, the tokenizer gives its id and cuts the text there.
+        self._added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.dtype = np.dtype("<u2" if small else "<u4")
         self.spaced = spaced
@@ -55,6 +59,8 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(token in text for token in self._added):
+            return self.whole(text)
         if not self.spaced:
             return b"".join(map(self._first.__getitem__, text.replace("\n", " ").split(" ")))
         first, later = self._first, self._later
@@ -101,12 +107,14 @@ class Encoder:
 
 class _Memo(dict):
     def __init__(self, encoder: Encoder, lead: str) -> None:
-        self.encoder, self.lead = encoder, lead
+        self.encoder, self.lead, self.size = encoder, lead, 0
 
     def __missing__(self, word: str) -> bytes | None:
         ids = self.encoder.word(word, self.lead, self)
-        if len(self) >= MEMO:
+        self.size += ENTRY + 4 * len(word) + len(ids or b"")
+        if self.size > MEMO:
             self.clear()
+            self.size = 0
         self[word] = ids
         return ids
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.scratch import stored
+from shelfwise.llm.vectors import clamped
 
 K = 5
 SCALE = 256
@@ -67,7 +68,7 @@ class Lists:
                     some = scores >= found[-1][0]
                     new, scores = new[some], scores[some]
                 other = self.ids[new] != query_id
-                pairs = [(int(s), -int(i)) for s, i in zip(scores[other], self.ids[new][other], strict=True)]
+                pairs = [(int(s), -int(i)) for s, i in zip(clamped(scores[other]), self.ids[new][other], strict=True)]
                 found = sorted(found + pairs, reverse=True)[:k]
             if depth >= n or met.all():
                 return found
@@ -111,7 +112,7 @@ def top_k(
 
     Components are floor(scale * x). Rows without id or vector, or with a null, infinite or NaN
     component, take no part. Vectors of unequal length are compared as if padded with zeros. Rows
-    that repeat an id and a vector are one candidate. Fewer than ``k`` other rows give fewer rows.
+    that repeat an id and a vector are one candidate. Components and scores beyond LONG count as its limits. Fewer than ``k`` other rows give fewer rows.
     """
     x = F.transform(F.col(vector_col), lambda c: c.cast("double"))
     sound = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))

@@ -9,16 +9,22 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-#: A worker forgets its words beyond this many; bounds its memory to some 150 MB.
-MEMO = 1_000_000
+#: A worker forgets its words once they and their hashes take so many bytes.
+MEMO = 64 << 20
+#: Bytes of a remembered word besides its own.
+ENTRY = 180
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Hashes(dict):
+    size = 0
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
+        self.size += ENTRY + len(word)
+        if self.size > MEMO:
             self.clear()
+            self.size = 0
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
 

@@ -7,6 +7,7 @@ import base64
 import hashlib
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -54,10 +55,13 @@ def _collect(df) -> list[dict]:
     return [r.asDict(recursive=True) for r in df.collect()]
 
 
+@cache
+def _tokenizer(name: str) -> Tokenizer:
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
 def _encode(name: str, text: str | None, end: int) -> list[int]:
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, end]
+    return [*_tokenizer(name).encode(text or "", add_special_tokens=False).ids, end]
 
 
 def _crc(ids) -> int:
@@ -72,6 +76,62 @@ def test_words_encode_as_whole_texts(text):
         assert encode.encode(text) == encode.whole(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "a", " ", "it's", "\n", "é"]), max_size=8))
+def test_texts_with_added_tokens_encode_as_the_library_does(parts):
+    text = "".join(parts)
+    for name, spaced, end in (("byte_bpe_50k.json", True, 0), ("word_bpe_49k.json", False, 1)):
+        encode = encoder(name, spaced)
+        assert np.frombuffer(encode.encode(text), encode.dtype).tolist() == _encode(name, text, end)[:-1]
+
+
+def test_ids_of_added_tokens(spark):
+    """Both vocabularies give the token's own id, at the ends of a text and inside it."""
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "<|startoftext|>x", "x<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    files = {r["doc_id"]: r for r in _collect(elias_fano.token_files(docs))}
+    packed = {r["doc_id"]: r for r in _collect(packing.pack(docs))}
+    assert _encode("byte_bpe_50k.json", texts[1], 0) == [64, 220, 50256, 275, 0]
+    for i, text in enumerate(texts):
+        ids = _encode("byte_bpe_50k.json", text, 0)
+        assert (files[i]["n_tokens"], files[i]["ids_crc32"]) == (len(ids), _crc(ids))
+        ids = _encode("word_bpe_49k.json", text, 1)
+        assert (packed[i]["doc_tokens"], packed[i]["ids_crc32"]) == (len(ids), _crc(ids))
+
+
+def test_memos_are_bounded_by_bytes(monkeypatch):
+    from shelfwise.llm import tokens, words
+
+    monkeypatch.setattr(tokens, "MEMO", 5000)
+    monkeypatch.setattr(words, "MEMO", 5000)
+    encode = tokens.Encoder("byte_bpe_50k.json", True)
+    text = _text(77, 300)
+    assert encode.encode(text) == encode.whole(text) and len(encode._later) < 25
+    memo = words._Hashes()
+    first = [memo[w.encode()] for w in text.split()]
+    assert first == [memo[w.encode()] for w in text.split()] and len(memo) < 30
+
+
+def test_passages_are_cut_only_from_their_own_text(spark):
+    """A row that shares an id, but not the text, keeps its words; a column called like an inner one stays."""
+    docs = spark.createDataFrame(
+        [(1, "a b c d e", "x"), (2, "a b c d e", "x"), (2, "v w x y z", "x"), (3, "q a b c d e", "x")],
+        "doc_id long, text string, _spans string",
+    )
+    found = spark.createDataFrame([(2, 0, 5), (3, 1, 5)], "doc_id long, start int, n_words int")
+    left = chains.without_passages(docs, found)
+    assert sorted(tuple(r) for r in left.collect()) == [
+        (1, "a b c d e", "x"), (2, "a b c d e", "x"), (2, "v w x y z", "x"), (3, "q ", "x")
+    ]
+
+
+def test_scores_beyond_long(spark):
+    rows = spark.createDataFrame([(i, [(-1.0) ** i * 1e17, 1e17 + i]) for i in range(0, 60)], "vec_id long, embedding array<double>")
+    found = _collect(topk.top_k(rows))
+    assert len(found) == 10 and {r["score"] for r in found} == {2**63 - 1}
+    assert [r["vec_id"] for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])) if r["query_id"] == 0] == [2, 4, 6, 8, 10]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**40), max_size=300))
 def test_elias_fano_round_trip(values):
