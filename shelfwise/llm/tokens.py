@@ -13,8 +13,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: A worker forgets all words once they and their ids take so many bytes.
-MEMO = 64 << 20
+#: Bytes that a worker's remembered words and their ids take at most.
+MEMO = 96 << 20
 #: Bytes of a remembered word besides its characters and ids.
 ENTRY = 200
 
@@ -106,13 +106,18 @@ class Encoder:
 
 
 class _Memo(dict):
+    """Words in two generations: once the young one is full, it becomes the old one. Words in use come
+    back from there without being encoded again; others go with it."""
+
     def __init__(self, encoder: Encoder, lead: str) -> None:
         self.encoder, self.lead, self.size = encoder, lead, 0
+        self.old: dict[str, bytes | None] = {}
 
     def __missing__(self, word: str) -> bytes | None:
-        ids = self.encoder.word(word, self.lead, self)
+        ids = self.old[word] if word in self.old else self.encoder.word(word, self.lead, self)
         self.size += ENTRY + 4 * len(word) + len(ids or b"")
-        if self.size > MEMO:
+        if self.size > MEMO // 2:
+            self.old = dict(self)
             self.clear()
             self.size = 0
         self[word] = ids
