@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from shelfwise.functions.classify import first_match
 from shelfwise.functions.numbers import MAX_DIGITS, decimal_for, exact, percent_of
+from shelfwise.operators import joined_bands
 from shelfwise.operators.rules import BAND_ORDER, fetch_rules, select_rules
 from shelfwise.sources.seeds import rows_to_df
 from shelfwise.types import COST, PERCENT, RULE_PRICE
@@ -24,6 +25,8 @@ FLOOR_FACTOR = "1.05"
 ASSUMED_DAYS_IN_STOCK = 15.0
 ASSUMED_TREND_SCORE = 50.0
 ASSUMED_COST_SHARE = "0.6"
+#: Rule tables with more bands are looked up as data instead of compiled to expressions.
+COMPILED = 500
 # Reasons that are no rule's name.
 FLOOR_REASON = "FLOOR_GUARDRAIL"
 NO_RULE_REASON = "NO_RULE"
@@ -91,17 +94,24 @@ def bands_by_rule(
     rules: DataFrame, rule_names: Sequence[str] | None = None
 ) -> dict[str, list[Row]]:
     """Bands of each selected rule; rules and bands in evaluation order."""
+    return _grouped(fetch_rules(select_rules(rules, rule_names), *BAND_ORDER))
+
+
+def _grouped(rows: Sequence[Row]) -> dict[str, list[Row]]:
     grouped: dict[str, list[Row]] = {}
-    for row in fetch_rules(select_rules(rules, rule_names), *BAND_ORDER):
+    for row in rows:
         if row["price_multiplier"] is None:
             raise ValueError(f"rule {row['rule_name']!r}: a band has no multiplier")
         grouped.setdefault(row["rule_name"], []).append(row)
-    columns = [_price_column(name) for name in grouped]
-    if len(set(columns)) < len(columns):
-        raise ValueError(f"rule names differ only in case: {sorted(grouped)}")
+    _check_names(list(grouped))
     return grouped
 
 
+def _check_names(names: Sequence[str]) -> None:
+    if len({_price_column(name) for name in names}) < len(names):
+        raise ValueError(f"rule names differ only in case: {sorted(names)}")
+
+
 def _price_column(rule_name: str) -> str:
     return f"price_{rule_name.lower()}"
 
@@ -135,6 +145,24 @@ def rule_prices(df: DataFrame, bands: dict[str, list[Row]]) -> DataFrame:
     )
 
 
+def joined_rule_prices(
+    df: DataFrame, rules: DataFrame, rule_names: Sequence[str] | None = None
+) -> tuple[DataFrame, list[str]]:
+    """The columns that ``rule_prices`` adds, from bands that are joined as data, and the rules' names."""
+    found = joined_bands.described(rules, rule_names)
+    names = [rule.name for rule in found]
+    _check_names(names)
+    banded, multipliers = joined_bands.with_multipliers(df, rules, found)
+    price, columns = F.col("original_price"), [F.col(f"`{c}`") for c in df.columns]
+    for rule, multiplier in zip(found, multipliers, strict=True):
+        scale = max(4, rule.decimals)
+        kind = T.DecimalType(min(MAX_DIGITS, max(3, rule.whole) + scale), scale)
+        product = price * F.coalesce(multiplier, F.lit(1)).cast(kind)
+        to = _rule_price(banded.select(product.alias("product")).schema["product"].dataType)
+        columns.append(product.cast(to).alias(_price_column(rule.name)))
+    return banded.select(columns), names
+
+
 def _rule_price(product: T.DataType) -> T.DecimalType:
     """RULE_PRICE, or wider if the product of price and multiplier has more digits."""
     if not isinstance(product, T.DecimalType):
@@ -145,7 +173,7 @@ def _rule_price(product: T.DataType) -> T.DecimalType:
 
 
 def apply_banded_rules(
-    df: DataFrame, rules: DataFrame, rule_names: Sequence[str] | None = None
+    df: DataFrame, rules: DataFrame, rule_names: Sequence[str] | None = None, joined: bool | None = None
 ) -> tuple[DataFrame, list[str]]:
     """Recommend a price for every row.
 
@@ -153,10 +181,17 @@ def apply_banded_rules(
     ``recommended_price``, ``floor_bound`` and ``markdown_reason``, and returns the
     names of the rule price columns as well. The reason is the first rule whose
     price was taken, also where a floor then lifted it or no band matched.
+
+    ``joined``: bands are joined as data, not fetched and compiled. By default that is so for tables of
+    more than ``COMPILED`` bands; the rows are the same.
     """
-    bands = bands_by_rule(rules, rule_names)
+    first = [] if joined else select_rules(rules, rule_names).take(COMPILED + 1)
+    if joined or joined is None and len(first) > COMPILED:
+        priced, bands = joined_rule_prices(df, rules, rule_names)
+    else:
+        bands = _grouped(first) if len(first) <= COMPILED else bands_by_rule(rules, rule_names)
+        priced = rule_prices(df, bands) if bands else df
     columns = [_price_column(name) for name in bands]
-    priced = rule_prices(df, bands) if bands else df
 
     candidates = [F.col(c) for c in columns] or [F.col("original_price").cast(RULE_PRICE)]
     lowest = F.least(*candidates) if len(candidates) > 1 else candidates[0]

@@ -27,9 +27,6 @@ UNKNOWN_PROMOTION = 1
 DEFAULT_STORE = 1
 DEFAULT_CHANNEL = 1
 
-# Width of the cells that price ranges are laid out over.
-PRICE_CELL = 1000
-
 
 def _typed(df: DataFrame, table: str, columns: Mapping[str, Column]) -> DataFrame:
     """The table's columns in order and type; its first one, the row id, is left out."""
@@ -98,7 +95,6 @@ def by_price_range(df: DataFrame, price: str, dims: Dims, *take: str) -> DataFra
         "max_price",
         "price_range_key",
         *take,
-        cell=PRICE_CELL,
     )
 
 

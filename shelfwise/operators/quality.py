@@ -31,6 +31,21 @@ def column_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per column of each table: its place, type and number of values. Each table is read once."""
+    profiles = []
+    for name, df in tables.items():
+        rows = [
+            F.struct(
+                F.lit(name).alias("table_name"), F.lit(place).alias("position"), F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("data_type"), F.count(F.col(f"`{f.name}`")).alias("value_count"),
+            )
+            for place, f in enumerate(df.schema, 1)
+        ]
+        profiles.append(df.agg(F.array(*rows).alias("columns")).select(F.inline("columns")))
+    return reduce(DataFrame.unionAll, profiles)
+
+
 def member_usage(dim: DataFrame, key: str, facts: DataFrame) -> DataFrame:
     """Dimension rows with the number of fact rows that refer to them."""
     # Members without facts count, too, so each is found by equality, also where all facts have one key.

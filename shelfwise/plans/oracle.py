@@ -444,6 +444,26 @@ def _usage_of(dim: str, key: str, cte: str = "") -> str:
     )
 
 
+def _profile(table: str, columns: str) -> str:
+    """Place, name, type in Spark's words, and number of values of each column."""
+    names = columns.split()
+    kind = "CASE any_value(typeof({0})) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(any_value(typeof({0}))) END"
+    return f"""SELECT '{table}' AS table_name, unnest({list(range(1, len(names) + 1))}) AS position, unnest({names}) AS column_name,
+  unnest([{', '.join(kind.format(n) for n in names)}]) AS data_type, unnest([{', '.join(f'count({n})' for n in names)}]) AS value_count
+FROM {table}"""
+
+
+A_COLUMNS = """product_id category brand season original_price stock_level customer_ratings competitor_price markdown_1 markdown_2
+  markdown_3 markdown_4 historical_sales sales_after_m1 sales_after_m2 sales_after_m3 sales_after_m4 optimal_discount promotion_type
+  seasonality_factor return_rate days_in_stock trend_score unit_cost"""
+B_COLUMNS = """product_id category brand season original_price stock_quantity customer_rating current_price markdown_percentage
+  is_returned return_reason"""
+SALES_ORDER = """product_key, category_key, brand_key, season_key, markdown_key, customer_rating_key, price_range_key, stock_level_key,
+  promotion_key, store_key, channel_key, date_key, original_price, current_price, markdown_percentage, historical_sales,
+  sales_after_markdown, revenue, optimal_discount, created_timestamp"""
+BROKEN = "CAST(substr(product_id, 2) AS BIGINT) % 97 = 0"
+
+
 def _banded(rules: list[str], signals: str = MEASURED) -> str:
     return _with(_banded_view(rules), BASE, PRICED, signals, _recommended(rules))
 
@@ -627,6 +647,21 @@ FROM inventory""",
 ) LEFT JOIN star_date USING (date_key) GROUP BY table_name, year, month""",
             *STAR, FACT_INVENTORY, FACT_MARKDOWN, FACT_FEEDBACK, STAR_DATE,
         ),
+        "banded_rules_joined": _banded(ALL_RULES),
+        "column_report": _with(f"{_profile('retail_a', A_COLUMNS)} UNION ALL {_profile('retail_b', B_COLUMNS)}", *RAW),
+        "fact_sales_numbered": _with(
+            "SELECT row_number() OVER (ORDER BY "
+            + ", ".join(f"{c.strip()} NULLS FIRST" for c in SALES_ORDER.split(","))
+            + ") AS sales_key, * FROM fact_sales",
+            *STAR,
+        ),
+        "csv_scan": _with(f"SELECT * FROM retail_b WHERE NOT ({BROKEN})", BASE, RETAIL_B),
+        "csv_rejects": _with(
+            "SELECT concat_ws(',', "
+            + ", ".join("'n/a'" if c == "original_price" else f"coalesce(CAST({c} AS VARCHAR), '')" for c in B_COLUMNS.split())
+            + f") AS record FROM retail_b WHERE {BROKEN}",
+            BASE, RETAIL_B,
+        ),
         "load_row_counts": _with(
             "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _COUNTED),
             *STAR, DIM_STORE, DIM_CHANNEL, DIM_DATE, DIM_CUSTOMER, DIM_PRODUCT, FACT_INVENTORY, FACT_MARKDOWN, FACT_FEEDBACK,

@@ -6,20 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions import classify
 from shelfwise.functions.names import normalize_names
 from shelfwise.operators import banded, conform, facts, kpis, priority, quality
 from shelfwise.operators.joins import lookup
-from shelfwise.plans.star import NATURAL_KEYS
-from shelfwise.plans.workspace import AS_OF, Workspace, workspace
+from shelfwise.operators.keys import with_row_numbers
+from shelfwise.plans.workspace import AS_OF, FACTS, Workspace, workspace
 from shelfwise.sinks.tables import preview
 from shelfwise.sources import seeds
+from shelfwise.sources.files import CheckedRows, read_csv_checked
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_FACTS = ("fact_sales", "fact_inventory", "fact_markdown_analytics", "fact_customer_feedback")
-
 
 # --- priority rules -------------------------------------------------------------
 
@@ -209,6 +209,15 @@ def banded_recommendation_assumed(w: Workspace) -> DataFrame:
     return _recommended(_assumed(w), w, "historical_sales")
 
 
+def banded_rules_joined(w: Workspace) -> DataFrame:
+    """The recommendation with bands joined as data."""
+    result, prices = banded.apply_banded_rules(_measured(w), _rules(w), joined=True)
+    return kpis.pricing_kpis(result, "units_sold").select(
+        "product_id", "category", "original_price", "recommended_price", "discount_pct_applied",
+        "markdown_reason", "raw_recommended_price", "floor_price", "floor_bound", *prices,
+    )
+
+
 def pricing_kpis(w: Workspace) -> DataFrame:
     result, _ = banded.apply_banded_rules(_measured(w), _rules(w))
     return kpis.pricing_kpis(result, "units_sold").select(
@@ -330,7 +339,7 @@ def fact_dates(w: Workspace) -> DataFrame:
     """Rows of each fact by the month that the calendar has for their day; a day that the calendar
     lacks would show as a row without year and month."""
     counts = None
-    for name in _FACTS:
+    for name in FACTS:
         rows = getattr(w, name).groupBy("date_key").agg(F.count("*").alias("n"))
         rows = rows.select(F.lit(name).alias("table_name"), "date_key", "n")
         counts = rows if counts is None else counts.unionAll(rows)
@@ -340,18 +349,35 @@ def fact_dates(w: Workspace) -> DataFrame:
 
 
 def load_row_counts(w: Workspace) -> DataFrame:
-    """Rows of each table of the star. A fact has the rows of its source, as it finds its members
-    by left joins on natural keys; that these are unique is checked first."""
-    quality.assert_unique_keys({n: (w.dims[n], key) for n, key in NATURAL_KEYS.items()})
+    """Rows of each table of the star. The facts are counted as they are stored, from what their files say
+    of themselves: no column is read."""
     tables = {"retail_a": w.retail_a, "retail_b": w.retail_b} | w.dims
     others = ("dim_store", "dim_channel", "dim_date", "dim_customer", "dim_product")
-    sources = {
-        "fact_sales": conformed_sales(w),
-        "fact_inventory": conformed_inventory(w),
-        "fact_markdown_analytics": w.retail_a,
-        "fact_customer_feedback": w.retail_b,
-    }
-    return quality.row_counts(tables | {name: getattr(w, name) for name in others} | sources)
+    return quality.row_counts(tables | {name: getattr(w, name) for name in others} | w.stored_facts)
+
+
+def column_report(w: Workspace) -> DataFrame:
+    return quality.column_profile({"retail_a": w.retail_a, "retail_b": w.retail_b})
+
+
+def fact_sales_numbered(w: Workspace) -> DataFrame:
+    """Sales with row ids that are the same on every run."""
+    return with_row_numbers(w.fact_sales, "sales_key")
+
+
+def _checked_csv(w: Workspace) -> CheckedRows:
+    fields = [T.StructField(f.name.replace("_", " ").title(), f.dataType) for f in w.retail_b.schema]
+    return read_csv_checked(w.spark, w.csv_folder, T.StructType(fields))
+
+
+def csv_scan(w: Workspace) -> DataFrame:
+    """Source b read from CSV files, less the records that don't fit."""
+    return _checked_csv(w).rows
+
+
+def csv_rejects(w: Workspace) -> DataFrame:
+    """The records that don't fit, as they stand in the files."""
+    return _checked_csv(w).rejects.select("record")
 
 
 _PLANS: dict[str, Callable[[Workspace], DataFrame]] = {
@@ -375,6 +401,7 @@ _PLANS: dict[str, Callable[[Workspace], DataFrame]] = {
     "banded_no_rule": banded_no_rule,
     "banded_recommendation": banded_recommendation,
     "banded_recommendation_assumed": banded_recommendation_assumed,
+    "banded_rules_joined": banded_rules_joined,
     "pricing_kpis": pricing_kpis,
     "product_trends": product_trends,
     "dim_category": lambda w: w.dim_category,
@@ -406,6 +433,10 @@ _PLANS: dict[str, Callable[[Workspace], DataFrame]] = {
     "preview_fact_sales": preview_fact_sales,
     "fact_dates": fact_dates,
     "load_row_counts": load_row_counts,
+    "column_report": column_report,
+    "fact_sales_numbered": fact_sales_numbered,
+    "csv_scan": csv_scan,
+    "csv_rejects": csv_rejects,
 }
 
 

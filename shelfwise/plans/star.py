@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from shelfwise.operators import facts
+from shelfwise.operators.dims import DIMENSIONS, dim_product, dimension, product_members
 from shelfwise.operators.keys import with_row_id
 from shelfwise.operators.quality import assert_found, assert_unique, row_counts
 from shelfwise.plans.workspace import Workspace
@@ -30,7 +31,9 @@ OTHER_DIMS = (
 def load_star(work: Workspace, database: str, fmt: str = "parquet") -> DataFrame:
     """Write raw, dimension, fact and rule tables and return their row counts.
 
-    Raw, dimension and fact tables are replaced, so a second load leaves the same rows.
+    Raw, dimension and fact tables are replaced, each once its new rows are written, so a second load leaves
+    the same rows and a failed one the old ones. Members keep the keys of the load before; new ones are
+    numbered after these.
     Facts are built from the dimension tables just written, whose natural keys have to be
     unique. The rule and trend tables get the standard rows when they are created; after that
     they are the caller's to change.
@@ -43,8 +46,19 @@ def load_star(work: Workspace, database: str, fmt: str = "parquet") -> DataFrame
 
     overwrite_table(work.retail_a, target("retail_a"), fmt)
     overwrite_table(work.retail_b, target("retail_b"), fmt)
+
+    def loaded_before(name: str) -> DataFrame | None:
+        return spark.table(target(name)) if spark.catalog.tableExists(target(name)) else None
+
     for name in (*NATURAL_KEYS, *OTHER_DIMS):
-        source = work.star_date if name == "dim_date" else getattr(work, name)
+        known = loaded_before(name)
+        if name in DIMENSIONS:
+            source = dimension(work.members, name, known)
+        elif name == "dim_product" and known is not None:
+            category, brand = spark.table(target("dim_category")), spark.table(target("dim_brand"))
+            source = dim_product(product_members(work.products), category, brand, work.as_of, known)
+        else:
+            source = work.star_date if name == "dim_date" else getattr(work, name)
         load_table(source, target(name), TABLES[name], fmt)
 
     dims = {name: spark.table(target(name)) for name in (*NATURAL_KEYS, *OTHER_DIMS)}

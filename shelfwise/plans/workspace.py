@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.operators import dims, facts
-from shelfwise.sinks.staging import stage
+from shelfwise.sinks.staging import new_place, stage
 from shelfwise.sources import retail, seeds
 
 # Load date of the facts that queries compare: the same input always gives the same facts.
@@ -21,6 +19,7 @@ FACT_DIMS = (
     "dim_category", "dim_brand", "dim_season", "dim_markdown", "dim_price_range",
     "dim_stock_level", "dim_customer_rating", "dim_promotion",
 )
+FACTS = ("fact_sales", "fact_inventory", "fact_markdown_analytics", "fact_customer_feedback")
 
 
 class Workspace:
@@ -46,11 +45,6 @@ class Workspace:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def _dimension(
-        self, name: str, members: DataFrame, build: Callable[..., DataFrame], *args
-    ) -> DataFrame:
-        return stage(build(members, *args), name)
-
     @cached_property
     def lines(self) -> DataFrame:
         """Rows of both sources, stored in two parts so that each is read alone."""
@@ -83,42 +77,39 @@ class Workspace:
             self.table("customer"), self.table("nation"), self.table("region")
         )
 
+    @cached_property
+    def members(self) -> DataFrame:
+        """Members of all six dimensions of sales, with their keys: one pass over the lines, one table."""
+        return stage(dims.number_all(dims.all_members(self.retail_a, self.retail_b)), "dim_members")
+
     @cached_property
     def dim_category(self) -> DataFrame:
-        members = dims.category_members(self.retail_a, self.retail_b)
-        return self._dimension("dim_category", members, dims.dim_category)
+        return dims.dimension(self.members, "dim_category")
 
     @cached_property
     def dim_brand(self) -> DataFrame:
-        members = dims.brand_members(self.retail_a, self.retail_b)
-        return self._dimension("dim_brand", members, dims.dim_brand)
+        return dims.dimension(self.members, "dim_brand")
 
     @cached_property
     def dim_season(self) -> DataFrame:
-        members = dims.season_members(self.retail_a, self.retail_b)
-        return self._dimension("dim_season", members, dims.dim_season)
+        return dims.dimension(self.members, "dim_season")
 
     @cached_property
     def dim_markdown(self) -> DataFrame:
-        members = dims.markdown_members(self.retail_a, self.retail_b)
-        return self._dimension("dim_markdown", members, dims.dim_markdown)
+        return dims.dimension(self.members, "dim_markdown")
 
     @cached_property
     def dim_customer_rating(self) -> DataFrame:
-        members = dims.rating_members(self.retail_a, self.retail_b)
-        return self._dimension("dim_customer_rating", members, dims.dim_customer_rating)
+        return dims.dimension(self.members, "dim_customer_rating")
 
     @cached_property
     def dim_promotion(self) -> DataFrame:
-        members = dims.promotion_members(self.retail_a)
-        return self._dimension("dim_promotion", members, dims.dim_promotion)
+        return dims.dimension(self.members, "dim_promotion")
 
     @cached_property
     def dim_product(self) -> DataFrame:
         members = dims.product_members(self.products)
-        return self._dimension(
-            "dim_product", members, dims.dim_product, self.dim_category, self.dim_brand, self.as_of
-        )
+        return stage(dims.dim_product(members, self.dim_category, self.dim_brand, self.as_of), "dim_product")
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -152,13 +143,8 @@ class Workspace:
 
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
-        """The dimensions that facts refer to. Those taken from the data are built
-        side by side, so that their small jobs fill the cluster together."""
-        self.retail_a, self.retail_b
-        with ThreadPoolExecutor(len(FACT_DIMS)) as pool:
-            # With the caller's job group, pool and other local properties.
-            build = inheritable_thread_target(self.spark)(lambda name: getattr(self, name))
-            return dict(zip(FACT_DIMS, pool.map(build, FACT_DIMS)))
+        """The dimensions that facts refer to."""
+        return {name: getattr(self, name) for name in FACT_DIMS}
 
     @cached_property
     def fact_sales(self) -> DataFrame:
@@ -176,6 +162,21 @@ class Workspace:
     def fact_customer_feedback(self) -> DataFrame:
         return facts.fact_customer_feedback(self.retail_b, self.dims, self.as_of)
 
+    @cached_property
+    def stored_facts(self) -> dict[str, DataFrame]:
+        """The facts as written tables."""
+        return {name: stage(getattr(self, name), name) for name in FACTS}
+
+    @cached_property
+    def csv_folder(self) -> str:
+        """Source b as CSV files under headings with blanks. The price of every 97th product is no number."""
+        b = self.retail_b
+        broken = F.substring("product_id", 2, 30).cast("long") % 97 == 0
+        text = b.withColumn("original_price", F.when(broken, "n/a").otherwise(F.col("original_price").cast("string")))
+        path = new_place(self.spark, "retail_csv")
+        text.toDF(*(c.replace("_", " ").title() for c in b.columns)).write.option("header", True).csv(path)
+        return path
+
 
 class RawWorkspace(Workspace):
     """Workspace of a caller's own raw tables, for instance from ``read_csv``.

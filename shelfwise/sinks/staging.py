@@ -31,12 +31,16 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def new_place(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/shelfwise/{spark.conf.get('spark.app.id')}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to a place of its own under the shared folder and return the
     table read back."""
     spark = df.sparkSession
-    app = spark.conf.get("spark.app.id")
-    path = f"{shared_folder(spark)}/shelfwise/{app}/{name}-{uuid.uuid4().hex}"
+    path = new_place(spark, name)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)

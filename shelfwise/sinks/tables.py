@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +18,50 @@ def ensure_database(spark: SparkSession, name: str) -> list[str]:
     return [d.name for d in spark.catalog.listDatabases()]
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    if any(c.isPartition for c in spark.catalog.listColumns(new)):
+        # Partitions are known by the place they had before.
+        spark.sql(f"MSCK REPAIR TABLE {new} SYNC PARTITIONS")
+
+
+def replace_table(spark: SparkSession, name: str, load: Callable[[str], None]) -> None:
+    """Have ``load`` fill a table beside ``name``, and then put it in the place of ``name``.
+
+    While it loads, and if it fails, the old table stays as it is and can be read, also by the load
+    itself. What a failed load has left beside goes with the next one.
+    """
+    loading, replaced = f"{name}__loading", f"{name}__replaced"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(replaced):
+        # An earlier switch was cut short between its two steps.
+        _rename(spark, replaced, name)
+    drop_table(spark, loading)
+    drop_table(spark, replaced)
+    load(loading)
+    there = spark.catalog.tableExists(name)
+    if there:
+        _rename(spark, name, replaced)
+    try:
+        _rename(spark, loading, name)
+    except Exception:
+        if there:
+            _rename(spark, replaced, name)
+        raise
+    drop_table(spark, replaced)
+
+
 def overwrite_table(
     df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
-    """Replace a managed table, layout included."""
-    writer = df.write.mode("overwrite").option("overwriteSchema", "true").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    """Replace a managed table, layout included. A failed write leaves the old table."""
+
+    def load(beside: str) -> None:
+        writer = df.write.format(fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.saveAsTable(beside)
+
+    replace_table(df.sparkSession, name, load)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -47,10 +83,19 @@ def load_table(
 
     Spark's store assignment casts the values and rejects unsafe ones. A load
     replaces the rows, so that running it twice leaves the same table; appending
-    has to be asked for.
+    has to be asked for. A failed load leaves the old rows.
     """
-    create_table(df.sparkSession, name, schema, fmt)
-    df.write.insertInto(name, overwrite=not append)
+    spark = df.sparkSession
+    if append:
+        create_table(spark, name, schema, fmt)
+        df.write.insertInto(name)
+        return
+
+    def load(beside: str) -> None:
+        create_table(spark, beside, schema, fmt)
+        df.write.insertInto(beside)
+
+    replace_table(spark, name, load)
 
 
 def append_rows(
