@@ -114,6 +114,13 @@ class Rule(NamedTuple):
     #: Decimals that the multipliers are written with, and their largest number of whole digits.
     decimals: int
     whole: int
+    #: The same of the bounds.
+    bound_decimals: int
+    bound_whole: int
+
+    def bound(self) -> str:
+        """No wider a DECIMAL than the bounds need; those of up to 18 digits are compared as LONGs."""
+        return f"decimal({self.bound_whole + self.bound_decimals}, {self.bound_decimals})"
 
 
 def described(rules: DataFrame, rule_names: Sequence[str] | None = None) -> list[Rule]:
@@ -121,10 +128,18 @@ def described(rules: DataFrame, rule_names: Sequence[str] | None = None) -> list
     chosen = select_rules(rules, rule_names)
     op, times = F.col("condition_operator"), F.col("price_multiplier").cast(MULTIPLIER)
     needs_min, needs_max = op.isin("BETWEEN", ">", ">="), op.isin("BETWEEN", "<", "<=")
-    decimals = F.length(F.regexp_extract(times.cast("string"), r"\.(\d*?)0*$", 1))
+
+    def decimals(c: Column) -> Column:
+        return F.max(F.length(F.regexp_extract(c.cast("string"), r"\.(\d*?)0*$", 1)))
+
+    def whole(c: Column) -> Column:
+        return F.max(F.length(F.abs(F.floor(c)).cast("string")))
+
+    bounds = F.greatest(*[F.coalesce(F.abs(F.col(c)), F.lit(0.0)) for c in ("condition_min", "condition_max")]).cast(BOUND)
+    places = [decimals(F.col(c).cast(BOUND)) for c in ("condition_min", "condition_max")]
     rows = chosen.groupBy("rule_name", "trigger_column", (op == "=").alias("is_text")).agg(
-        F.min(F.struct(*BAND_ORDER)).alias("first"), F.max(decimals).alias("decimals"),
-        F.max(F.length(F.abs(times).cast("decimal(8,0)").cast("string"))).alias("whole"),
+        F.min(F.struct(*BAND_ORDER)).alias("first"), decimals(times).alias("decimals"), whole(times).alias("whole"),
+        F.coalesce(F.greatest(*places), F.lit(0)).alias("bound_decimals"), whole(bounds).alias("bound_whole"),
         F.count_if(F.coalesce(~op.isin(*OPERATORS), F.lit(True))).alias("unknown"),
         F.count_if(F.col("price_multiplier").isNull()).alias("no multiplier"),
         F.count_if(needs_min & F.col("condition_min").isNull() | needs_max & F.col("condition_max").isNull()).alias("no bound"),
@@ -139,9 +154,10 @@ def described(rules: DataFrame, rule_names: Sequence[str] | None = None) -> list
 
     found: dict[str, Rule] = {}
     for r in sorted(rows, key=place):
-        rule = found.setdefault(r["rule_name"], Rule(r["rule_name"], [], 0, 0))
+        rule = found.setdefault(r["rule_name"], Rule(r["rule_name"], [], 0, 0, 0, 1))
         rule.triggers.append((r["trigger_column"], bool(r["is_text"])))
-        found[rule.name] = rule._replace(decimals=max(rule.decimals, r["decimals"]), whole=max(rule.whole, r["whole"]))
+        digits = ("decimals", "whole", "bound_decimals", "bound_whole")
+        found[rule.name] = rule._replace(**{d: max(getattr(rule, d), r[d] or 0) for d in digits})
     return list(found.values())
 
 
@@ -158,24 +174,28 @@ def with_multipliers(df: DataFrame, rules: DataFrame, described_rules: Sequence[
     columns, out = [], df
     for i, rule in enumerate(described_rules):
         places = []
+        # Only where a rule has several triggers does it take the order to tell which band is first.
+        taken = F.col("place") if len(rule.triggers) > 1 else F.col("place.multiplier")
         for j, (trigger, is_text) in enumerate(rule.triggers):
             name = f"_band_{i}_{j}"
             side = (texts if is_text else numbers).where((F.col("rule_name") == rule.name) & (F.col("trigger_column") == trigger))
+            side = side.withColumn("place", taken)
             if is_text:
                 keyed = side.select(F.col("condition_str_value").alias("_text"), F.col("place").alias(name))
                 out = out.join(keyed, F.col(trigger) == F.col("_text"), "left").drop("_text")
             else:
-                out = _in_segment(out, F.col(trigger), side, name)
+                out = _in_segment(out, F.col(trigger), side, name, rule.bound())
             places.append(F.col(name))
-        first = F.least(*places) if len(places) > 1 else places[0]
-        columns.append(first["multiplier"])
+        columns.append(F.least(*places)["multiplier"] if len(places) > 1 else places[0])
     return out, columns
 
 
-def _in_segment(df: DataFrame, value: Column, side: DataFrame, name: str) -> DataFrame:
-    limit = F.lit("99999999999999999999999999").cast(BOUND)
+def _in_segment(df: DataFrame, value: Column, side: DataFrame, name: str, bound: str) -> DataFrame:
+    # As DOUBLEs the bounds may be a little off, but never leave out a value that fits; ``fits`` tells exactly.
     ranged = side.select(
-        F.coalesce("low", -limit).alias("lowest"), F.coalesce("high", limit).alias("highest"), "low", "low_side", "high", "high_side",
+        F.coalesce(F.col("low").cast("double"), F.lit(-1e300)).alias("lowest"),
+        F.coalesce(F.col("high").cast("double"), F.lit(1e300)).alias("highest"),
+        F.col("low").cast(bound).alias("low"), "low_side", F.col("high").cast(bound).alias("high"), "high_side",
         F.col("place").alias(name),
     )
 
@@ -185,4 +205,4 @@ def _in_segment(df: DataFrame, value: Column, side: DataFrame, name: str) -> Dat
         return above & below
 
     inner = ("low", "low_side", "high", "high_side")
-    return range_lookup(df, value, ranged, "lowest", "highest", name, hidden=inner, fits=fits)
+    return range_lookup(df, value.cast("double"), ranged, "lowest", "highest", name, hidden=inner, fits=fits)
