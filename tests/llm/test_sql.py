@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", corpus.oracle_sql())
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "benchmark"):
+    for table in ("documents", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     found = corpus.queries()[name](spark, FOLDER)
     cursor = con.execute(corpus.oracle_sql()[name])
