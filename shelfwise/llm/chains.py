@@ -8,7 +8,8 @@
    best scores over the document's places, among the matches that a chain can still bridge to.
 4. Every chain, also of one seed, is aligned on the words of both whole texts: over the gaps between
    seeds, and beyond both ends, across changed, missing and added words, as far as the equal ones
-   outweigh them.
+   outweigh them. Chains around which too few words occur in the other text are left out first; that
+   bound rules out no passage.
 5. Where a shared seed is in no passage found so, all runs of the least length around it point to
    the first holder of the whole run, whatever earlier documents hold of its pieces.
 """
@@ -37,9 +38,11 @@ GAP_COST = 0.25
 PRICES = (2, 3, 4)  # equal words that pay for a changed one beyond a chain's ends; tried in turn
 DROP = 12  # equal words that a passage's end may fall behind its best
 
+#: A word of a text where texts are compared: 32 bits of its hash. Seeds hash whole ones.
+WORDS = "<u4"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
-SEEDS = "doc_id long, n_words int, hashes array<long>, places array<int>"
+SEEDS = "doc_id long, n_words int, hashes array<long>, places array<int>, words binary"
 CHAINS = "doc_id long, source_id long, chains array<array<struct<place int, source_place int>>>"
 VIEWS = CHAINS + ", views array<binary>"
 RUNS = "doc_id long, seed long, place int"
@@ -60,20 +63,21 @@ def minimizers(words: np.ndarray, k: int, neighbours: int) -> tuple[np.ndarray,
 def _seeds(k: int, neighbours: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, found = [], []
+            sizes, found, short = [], [], []
             for text in batch.column(1):
                 words = hashes(blank_words(text.as_py()))
                 sizes.append(len(words))
                 found.append(minimizers(words, k, neighbours))
+                short.append(words.astype(WORDS).tobytes())
             offsets = pa.array(np.cumsum([0, *(len(p) for _, p in found)]), pa.int32())
             flat = [np.concatenate(x) if x else [] for x in zip(*found, strict=True)] or [[], []]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(sizes, pa.int32()),
                     pa.ListArray.from_arrays(offsets, pa.array(flat[0], pa.int64())),
-                    pa.ListArray.from_arrays(offsets, pa.array(flat[1], pa.int32())),
+                    pa.ListArray.from_arrays(offsets, pa.array(flat[1], pa.int32())), pa.array(short, pa.binary()),
                 ],
-                names=["doc_id", "n_words", "hashes", "places"],
+                names=["doc_id", "n_words", "hashes", "places", "words"],
             )
 
     return run
@@ -161,21 +165,21 @@ def _chains(k: int, gap: int, cost: float):
 
 
 def _views(k: int, gap: int, cost: float, min_words: int):
-    """Chains of each pair of documents, and short hashes of the words around those that are not
-    yet of ``min_words`` words."""
+    """Chains of each pair of documents, and short hashes of the ``min_words`` words on both sides of
+    those that are not yet as long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, matches, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words = hashes(blank_words(text)).astype("<u2")
+            for doc_id, matches, packed in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                words = np.frombuffer(packed, WORDS).astype("<u2")
                 sources: dict[int, list[tuple[int, int]]] = {}
                 for m in matches:
                     sources.setdefault(m["source_id"], []).append((m["place"], m["source_place"]))
                 for source, pairs in sources.items():
                     found = chain(pairs, k, gap, cost)
                     spans = ((path[0][0], path[-1][0] + k) for path in found)
-                    views = [None if b - a >= min_words else words[max(0, a - 2 * min_words) : b + 2 * min_words].tobytes() for a, b in spans]
+                    views = [None if b - a >= min_words else words[max(0, a - min_words) : b + min_words].tobytes() for a, b in spans]
                     out.append((doc_id, source, [[{"place": p, "source_place": q} for p, q in path] for path in found], views))
             columns = list(zip(*out, strict=True)) or [[]] * 4
             path = pa.list_(pa.struct([("place", pa.int32()), ("source_place", pa.int32())]))
@@ -187,28 +191,60 @@ def _views(k: int, gap: int, cost: float, min_words: int):
     return run
 
 
-def reaches(view: list, other: list, path: list[tuple[int, int]], k: int, min_words: int) -> bool:
-    """Whether a chain's passage can have ``min_words`` words, as far as the words around it tell."""
-    lo, from_ = max(0, path[0][0] - 2 * min_words), max(0, path[0][1] - 4 * min_words)
-    start, end, *_ = align(view, other[from_ : path[-1][1] + k + 4 * min_words], [(p - lo, q - from_) for p, q in path], k)
-    return end - start >= min_words
+def furthest(present: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per row, how many words ``_extend`` can go on at most at the least price, for rows of words that occur
+    near the other text's place or don't; rows hold ``sizes`` words. A word that does not occur costs an
+    edit, so no path scores more than here. An end scores more than 0; a path at ``-DROP`` ends, but one just
+    above may make one more edit before equal words follow."""
+    bound = np.cumsum(np.where(present, np.int32(1), np.int32(-PRICES[0])), 1, np.int32)
+    alive = np.logical_and.accumulate(bound > -DROP - PRICES[0], 1)
+    at = np.arange(1, present.shape[1] + 1, dtype=np.int32)
+    return np.where(alive & (bound > 0) & (at <= sizes[:, None]), at, 0).max(1, initial=0)
+
+
+def can_reach(views: list[tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]], k: int, min_words: int) -> np.ndarray:
+    """Whether the passages around chains can have ``min_words`` words, for (words around the chain, words of the
+    other text, chain). Never false where ``align`` finds one: equal words are among those that
+    occur in the stretch of the other text that its paths can get to, and it may not pass either end."""
+    wide = min_words + (min_words + DROP) // PRICES[0] + 1  # and as many edits as a path lives through
+    present, sizes = np.zeros((2, len(views), min_words), bool), np.zeros((2, len(views)), np.int64)
+    spans, seen = np.empty(len(views), np.int64), np.zeros(1 << 16, bool)
+    for i, (view, other, path) in enumerate(views):
+        left, end = min(path[0][0], min_words), path[-1][1] + k
+        spans[i] = path[-1][0] + k - path[0][0]
+        sides = (
+            (view[:left][::-1], other[max(0, path[0][1] - wide) : path[0][1]]),
+            (view[left + spans[i] :][:min_words], other[end : end + wide]),
+        )
+        for side, (words, near) in enumerate(sides):
+            near = near.astype("<u2")
+            seen[near] = True
+            present[side, i, : len(words)] = seen[words]
+            seen[near] = False
+            sizes[side, i] = len(words)
+    return spans + furthest(present[0], sizes[0]) + furthest(present[1], sizes[1]) >= min_words
 
 
 def _reaching(k: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, last, b = [], None, []
-            ids = zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
-            for (doc_id, source, paths, views), other in zip(ids, batch.column(4), strict=True):
-                if other != last:  # rows come by source
-                    last, b = other, hashes(blank_words(other.as_py())).astype("<u2").tolist()
-                found = []
-                for matches, view in zip(paths, views, strict=True):
-                    path = [(m["place"], m["source_place"]) for m in matches]
-                    if view is None or reaches(np.frombuffer(view, "<u2").tolist(), b, path, k, min_words):
-                        found.append(matches)
-                if found:
-                    out.append((doc_id, source, found))
+            rows = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
+            paths = [[[(m["place"], m["source_place"]) for m in path] for path in row[2]] for row in rows]
+            keep = [[view is None for view in row[3]] for row in rows]
+            asked, places = [], []
+            for i, other in enumerate(batch.column(4)):
+                b = np.frombuffer(other.as_buffer(), WORDS)
+                for j, view in enumerate(rows[i][3]):
+                    if view is not None:
+                        asked.append((np.frombuffer(view, "<u2"), b, paths[i][j]))
+                        places.append((i, j))
+            for (i, j), ok in zip(places, can_reach(asked, k, min_words).tolist(), strict=True):
+                keep[i][j] = ok
+            out = [
+                (doc_id, source, [path for path, ok in zip(found, oks, strict=True) if ok])
+                for (doc_id, source, found, _), oks in zip(rows, keep, strict=True)
+                if any(oks)
+            ]
             columns = list(zip(*out, strict=True)) or [[]] * 3
             path = pa.list_(pa.struct([("place", pa.int32()), ("source_place", pa.int32())]))
             kinds = (pa.int64(), pa.int64(), pa.list_(path))
@@ -255,9 +291,9 @@ def _whole_runs(k: int, neighbours: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, found, at = [], [], []
-            for doc_id, n_words, places, ok, text in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for doc_id, n_words, places, ok, packed in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 ranges = _stretches(places, set(ok), n_words, k, neighbours - 1, min_words)
-                words = hashes(blank_words(text)) if ranges else []
+                words = np.frombuffer(packed, WORDS).astype(np.uint64)
                 for lo, hi in ranges:
                     h = runs(words[lo : hi + min_words], min_words).view(np.int64)
                     ids += [doc_id] * len(h)
@@ -352,9 +388,9 @@ def _align(k: int, min_words: int, identity: float):
             out, last, b = [], None, []
             ids = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
             for (doc_id, source, paths), own, other in zip(ids, batch.column(3), batch.column(4), strict=True):
-                a = hashes(blank_words(own.as_py())).tolist()
+                a = np.frombuffer(own.as_py(), WORDS).tolist()
                 if other != last:  # rows come by source
-                    last, b = other, hashes(blank_words(other.as_py())).tolist()
+                    last, b = other, np.frombuffer(other.as_py(), WORDS).tolist()
                 for matches in paths:
                     pairs = ((m["place"], m["source_place"]) for m in matches)
                     path = [(p, q) for p, q in pairs if p + k <= len(a) and q + k <= len(b)]
@@ -385,37 +421,40 @@ def passages(
     rows without an id take no part; rows that repeat an id count as one document; passages
     repeated only inside one document are not reported; an empty table gives no rows.
     """
+    # All seeds of a repeated run must lie inside it.
+    k = min(k, min_words)
+    neighbours = min(neighbours, (min_words - k) // 2 + 1)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     rows = rows.where("doc_id is not null")
+    # Texts are split into words once; later steps move and compare their short hashes.
     packed = stored(rows.mapInArrow(_seeds(k, neighbours), SEEDS), "seeds")
+    words = packed.select("doc_id", "words")
     seeds = packed.select("doc_id", F.explode(F.arrays_zip("hashes", "places")).alias("s")).select(
         "doc_id", F.col("s.hashes").alias("seed"), F.col("s.places").alias("place")
     )
     matches = _matches(seeds, "shared-seeds")
     # No more matches than the document has seeds, as each points to one holder.
-    matched = matches.groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "place", "source_place")).alias("matches"))
-    paired = stored(matched.join(packed.select("doc_id", "n_words", "hashes", "places"), "doc_id"), "matched")
-    # Few chains become passages. Words around a chain tell which; only for those do whole texts move by pair.
-    own = paired.select("doc_id", "matches").join(rows, "doc_id")
-    viewed = stored(own.mapInArrow(_views(k, GAP, GAP_COST, min_words), VIEWS), "views")
-    sided = viewed.join(rows.select(F.col("doc_id").alias("source_id"), F.col("text").alias("other")), "source_id")
-    sided = sided.select("doc_id", "source_id", "chains", "views", "other")
+    matched = stored(
+        matches.groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "place", "source_place")).alias("matches")), "matched"
+    )
+    # Few chains become passages. Words around a chain tell which can; only for those do whole documents move by pair.
+    viewed = stored(matched.join(words, "doc_id").mapInArrow(_views(k, GAP, GAP_COST, min_words), VIEWS), "views")
+    sided = viewed.join(words.toDF("source_id", "other"), "source_id").select("doc_id", "source_id", "chains", "views", "other")
     chained = sided.mapInArrow(_reaching(k, min_words), CHAINS)
-    found = stored(_aligned(rows, chained, k, min_words, identity), "found")
-    if min_words - k < 2 * (neighbours - 1):
-        return found
+    found = stored(_aligned(words, chained, k, min_words, identity), "found")
     # Seeds whose holder has no passage there: whole runs of words point to the first holder of the run.
     spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words")).alias("spans"))
-    sides = paired.join(spans, "doc_id", "left").select("n_words", "hashes", "places", F.col("matches.place").alias("shared"), "spans")
+    sides = matched.join(packed.select("doc_id", "n_words", "hashes", "places"), "doc_id").join(spans, "doc_id", "left")
+    sides = sides.select("n_words", "hashes", "places", F.col("matches.place").alias("shared"), "spans")
     open_ = stored(sides.mapInArrow(_open_seeds(k, neighbours, min_words), "seed long").distinct(), "open-seeds")
     places = seeds.join(open_, "seed", "left_semi").groupBy("doc_id").agg(F.collect_list("place").alias("open"))
-    asked = packed.select("doc_id", "n_words", "places").join(places, "doc_id").join(rows, "doc_id")
+    asked = packed.select("doc_id", "n_words", "places", "words").join(places, "doc_id")
     whole = stored(
-        asked.select("doc_id", "n_words", "places", "open", "text").mapInArrow(_whole_runs(k, neighbours, min_words), RUNS), "whole-runs"
+        asked.select("doc_id", "n_words", "places", "open", "words").mapInArrow(_whole_runs(k, neighbours, min_words), RUNS), "whole-runs"
     )
     again = _matches(whole, "shared-runs").groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "place", "source_place")).alias("matches"))
     chained = again.mapInArrow(_chains(1, 0, 0.0), CHAINS)
-    return found.unionAll(_aligned(rows, chained, k, min_words, identity)).distinct()
+    return found.unionAll(_aligned(words, chained, k, min_words, identity)).distinct()
 
 
 def _matches(seeds: DataFrame, name: str) -> DataFrame:
@@ -428,14 +467,12 @@ def _matches(seeds: DataFrame, name: str) -> DataFrame:
     return seeds.join(shared, "seed").where("doc_id > source_id")
 
 
-def _aligned(rows: DataFrame, chains: DataFrame, k: int, min_words: int, identity: float) -> DataFrame:
-    """The passages around chains, from the texts of both documents."""
+def _aligned(words: DataFrame, chains: DataFrame, k: int, min_words: int, identity: float) -> DataFrame:
+    """The passages around chains, from the words of both documents."""
     chained = stored(chains, "chains")
     needed = chained.select("doc_id").unionAll(chained.select("source_id")).distinct()
-    texts = stored(rows.join(needed, "doc_id", "left_semi"), "chain-texts")
-    own = texts.select("doc_id", F.col("text").alias("own"))
-    other = texts.select(F.col("doc_id").alias("source_id"), F.col("text").alias("other"))
-    both = chained.join(own, "doc_id").join(other, "source_id")
+    texts = stored(words.join(needed, "doc_id", "left_semi"), "chain-texts")
+    both = chained.join(texts.toDF("doc_id", "own"), "doc_id").join(texts.toDF("source_id", "other"), "source_id")
     both = both.select("doc_id", "source_id", "chains", "own", "other")
     return both.mapInArrow(_align(k, min_words, identity), PASSAGES).distinct()
 

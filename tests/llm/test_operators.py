@@ -380,6 +380,56 @@ def test_edited_passages_standing_alone(spark):
     assert len({r["doc_id"] for r in found if r["n_words"] >= 80}) >= 36
 
 
+def _short(a: list[int]) -> np.ndarray:
+    return np.array(a, chains.WORDS).astype("<u2")
+
+
+def _can_reach(a: list[int], b: list[int], path: list[tuple[int, int]], k: int, min_words: int) -> bool:
+    view = _short(a)[max(0, path[0][0] - min_words) : path[-1][0] + k + min_words]
+    return bool(chains.can_reach([(view, np.array(b, chains.WORDS), path)], k, min_words)[0])
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.integers(0, 2**32), st.sampled_from([3, 20, 10**6]), st.integers(0, 90), st.integers(0, 90), st.integers(3, 30),
+    st.sampled_from([6, 20, 50]),
+)
+def test_words_around_a_chain_rule_out_no_passage(seed, vocabulary, before, after, every, min_words):
+    rng, k = np.random.default_rng(seed), 6
+    a = rng.integers(1, vocabulary + 1, before + k + after).tolist()
+    b, start = [], 0
+    for i, word in enumerate(a):
+        if i == before:
+            start = len(b)
+        edit = int(rng.integers(0, every * 3)) if not before <= i < before + k else 9
+        b += [[2**20 + i], [], [2**20 + i, word]][edit] if edit < 3 else [word]
+    path = [(before, start)]
+    if chains.found_around(a, b, path, k, min_words, 0.0):
+        assert _can_reach(a, b, path, k, min_words)
+
+
+def test_edits_beside_a_seed_do_not_hide_a_long_copy():
+    """120 words with every third changed lie between a seed and 300 equal words; a seed alone leads nowhere."""
+    seed, mixed, equal = list(range(6)), list(range(100, 220)), list(range(300, 600))
+    edited = [10_000 + i if i % 3 == 2 else w for i, w in enumerate(mixed)]
+    a, b = [*seed, *edited, *equal], [*seed, *mixed, *equal]
+    assert chains.found_around(a, b, [(0, 0)], 6, 50, 0.8) and _can_reach(a, b, [(0, 0)], 6, 50)
+    strange = list(range(20_000, 20_426))
+    assert not _can_reach(a, [*strange, *seed, *strange], [(0, len(strange))], 6, 50)
+
+
+def test_short_passages_behind_pieces(spark):
+    """With a small least length seeds lie closer, so that pieces in earlier documents hide no run of it."""
+    passage = _text(110, 12).split()
+    rows = [
+        (0, " ".join([*_text(111, 9).split(), *passage[:9], *_text(112, 9).split()])),
+        (1, " ".join([*_text(113, 9).split(), *passage[3:], *_text(114, 9).split()])),
+        *((i, " ".join([*_text(115 + i, i).split(), *passage, *_text(125 + i, 20).split()])) for i in (4, 5, 6)),
+    ]
+    found = _collect(chains.passages(spark.createDataFrame(rows, "doc_id long, text string"), min_words=10))
+    assert sorted((r["doc_id"], r["source_id"], r["start"], r["n_words"]) for r in found) == [(i, 4, i, 12) for i in (5, 6)]
+
+
 def test_chain_over_unlike_words_is_split():
     """Two passages that lie too far apart for one are both found."""
     one, two = list(range(100, 170)), list(range(200, 270))
