@@ -18,9 +18,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.scratch import stored
+
 #: Bounds of the fit: labelled documents of each class for the dictionaries, of both for the
-#: calibration, and characters taken of each (from a place chosen by its id).
-EXAMPLES, CALIBRATION, CHARACTERS = 1500, 4000, 16_000
+#: calibration, and pieces of each class's whole texts that a dictionary is trained on.
+EXAMPLES, CALIBRATION, PIECES = 1500, 4000, 4000
 DICTIONARY = 112 * 1024
 PIECE = 2048  # bytes
 LEVEL = 3
@@ -44,13 +46,12 @@ def _pieces(text: bytes) -> list[bytes]:
     return [text[i : i + PIECE] for i in range(0, len(text), PIECE)] or [b""]
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
-    """A trained dictionary; of too few texts to train on, the texts themselves."""
-    pieces = [p for t in texts for p in _pieces(t)]
+def _dictionary(pieces: list[bytes]) -> bytes:
+    """A trained dictionary; of too few pieces to train on, the pieces themselves."""
     try:
         return zstandard.train_dictionary(DICTIONARY, pieces, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(pieces)[:DICTIONARY]
+        return b"".join(pieces)
 
 
 class Sizes:
@@ -84,34 +85,59 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(map(float, w))
 
 
+def _chosen_pieces(rows: DataFrame) -> list[bytes]:
+    """At most ``PIECES`` pieces of the whole texts in ``rows`` (doc_id, text), those with the least hashes."""
+    at = F.sequence(F.lit(0), F.floor(F.greatest(F.length("text") - 1, F.lit(0)) / PIECE).cast("int"))
+    hashes = rows.select(F.explode(F.transform(at, lambda i: F.xxhash64("doc_id", i))).alias("h"))
+    cut = hashes.orderBy("h").limit(PIECES).agg(F.max("h")).first()[0]
+    if cut is None:
+        return []
+    low = F.filter(at, lambda i: F.xxhash64("doc_id", i) <= cut)
+    cutout = F.transform(low, lambda i: F.struct(F.xxhash64("doc_id", i).alias("h"), F.substring("text", i * PIECE + 1, F.lit(PIECE)).alias("piece")))
+    found = rows.select(F.explode(cutout).alias("x")).select("x.h", "x.piece").collect()
+    return [bytes(r.piece) for r in sorted(found)]
+
+
+def _measured(sizes: tuple[bytes, bytes]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        measure = Sizes(*sizes)
+        for batch in batches:
+            x = np.array([measure.features(t.as_py())[1:] for t in batch.column(3)], float).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(x[:, 0]), pa.array(x[:, 1])], names=["doc_id", "label", "example", "change", "share"]
+            )
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """Labels outside 0 and 1, of held-out rows, without id or without document are not used."""
+    """Labels outside 0 and 1, of held-out rows, of ids that are labelled both ways, without id or without
+    document are not used. Of an id with several texts the least counts. Whole texts are measured where they
+    are; the driver gets at most ``PIECES`` pieces of ``PIECE`` bytes of each class, and two numbers a document.
+    """
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
-    usable = usable.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = {
-        *((r.doc_id, r.label, True) for k in (0, 1) for r in usable.where(F.col("label") == k).orderBy(*order).limit(EXAMPLES).collect()),
-        *((r.doc_id, r.label, False) for r in usable.orderBy(*(F.xxhash64("doc_id", F.lit(1)), F.col("doc_id"))).limit(CALIBRATION).collect()),
-    }
-    # At most 2 * EXAMPLES + CALIBRATION rows of CHARACTERS characters come to the driver.
-    ids = docs.sparkSession.createDataFrame(sorted(chosen), "doc_id long, label int, example boolean")
-    text = F.col(text_col).cast("string")
-    spare = F.greatest(F.length(text) - CHARACTERS, F.lit(1))
-    texts = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.substring(text, (F.pmod(F.xxhash64(F.col(id_col)), spare) + 1).cast("int"), F.lit(CHARACTERS)).cast("binary").alias("text"),
+    usable = usable.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(
+        F.min(label_col).cast("int").alias("label"), F.max(label_col).cast("int").alias("other")
     )
-    rows = texts.join(F.broadcast(ids), "doc_id").where("text is not null").dropDuplicates(["doc_id", "example"]).orderBy("doc_id").collect()
-    examples = {k: [bytes(r.text) for r in rows if r.example and r.label == k] for k in (0, 1)}
-    good, bad = _dictionary(examples[1]), _dictionary(examples[0])
-    seen = {r.doc_id for r in rows if r.example}
-    rest = [r for r in rows if not r.example and r.doc_id not in seen] or [r for r in rows if r.example]
-    sizes = Sizes(good, bad)
+    usable = usable.where("label = other").select("doc_id", "label")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    examples = {(r.doc_id, r.label) for k in (0, 1) for r in usable.where(F.col("label") == k).orderBy(*order).limit(EXAMPLES).collect()}
+    others = {(r.doc_id, r.label) for r in usable.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(CALIBRATION).collect()}
+    chosen = sorted([(*x, True) for x in examples] + [(*x, False) for x in others - examples])
+    # At most 2 * EXAMPLES + CALIBRATION ids.
+    ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int, example boolean")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    rows = texts.join(F.broadcast(ids), "doc_id").where("text is not null")
+    rows = stored(rows.groupBy("doc_id", "label", "example").agg(F.min("text").alias("text")), "labelled")
+    good, bad = (_dictionary(_chosen_pieces(rows.where(F.col("example") & (F.col("label") == k)))) for k in (1, 0))
+    measured = rows.mapInArrow(_measured((good, bad)), "doc_id long, label int, example boolean, change double, share double")
+    measured = sorted(measured.collect())
+    rest = [r for r in measured if not r.example]
     if len({r.label for r in rest}) < 2:
-        rest = [r for r in rows if r.example]
+        rest = [r for r in measured if r.example]
     if not rest:
         return Model(good, bad, (0.0, 0.0, 0.0))
-    x = np.array([sizes.features(bytes(r.text)) for r in rest])
+    x = np.array([(1.0, r.change, r.share) for r in rest])
     return Model(good, bad, _fit(x, np.array([r.label for r in rest], float)))
 
 

@@ -15,7 +15,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -67,13 +67,23 @@ class EliasFano:
         weights = np.uint64(1) << np.arange(self.low_bits, dtype=np.uint64)
         return (bits.reshape(count, self.low_bits).astype(np.uint64) * weights).sum(1, dtype=np.uint64)
 
-    def select(self, i: int) -> int:
-        """Entry ``i``, from the sample before it and the bits up to the next sample."""
+    def stretch(self, i: int, count: int) -> np.ndarray:
+        """``count`` entries from ``i`` on, all below the next sample: from the sample before them and the
+        bits up to the next."""
         at = int(self.samples[i // EVERY])
         until = int(self.samples[i // EVERY + 1]) if i // EVERY + 1 < len(self.samples) else len(self.high) * 8
         bits = np.unpackbits(self.high[at // 8 : until // 8 + 1], bitorder="little")[at % 8 :]
-        one = at + int(np.flatnonzero(bits)[i % EVERY])
-        return ((one - i) << self.low_bits) | int(self._low(i, 1)[0])
+        ones = at + np.flatnonzero(bits)[i % EVERY : i % EVERY + count]
+        high = (ones - np.arange(i, i + count)).astype(np.uint64) << np.uint64(self.low_bits)
+        return high | self._low(i, count)
+
+    def select(self, i: int) -> int:
+        return int(self.stretch(i, 1)[0])
+
+    def walk(self) -> Iterator[int]:
+        """All entries, sample by sample; no more than ``EVERY`` are expanded at a time."""
+        for i in range(0, self.n, EVERY):
+            yield from self.stretch(i, min(EVERY, self.n - i)).tolist()
 
     def values(self) -> np.ndarray:
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
@@ -162,17 +172,24 @@ class Shard:
         return self.read(*self.span(i))
 
     def documents(self, read: int = 1 << 20) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """(doc_id, start, ids) of all documents, read in pieces of some ``read`` tokens."""
-        ends = self.ends.values().astype(np.int64)
-        ids = [None] * self.missing + [self.first + int(x) for x in self.ids.values()]
-        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-        i = 0
-        while i < len(ends):
-            j = max(i + 1, int(np.searchsorted(ends, starts[i] + read, "right")))
-            block = self.read(int(starts[i]), int(ends[j - 1]))
-            for k in range(i, j):
-                yield ids[k], int(starts[k]), block[starts[k] - starts[i] : ends[k] - starts[i]]
-            i = j
+        """(doc_id, start, ids) of all documents, read in pieces of some ``read`` tokens. Boundaries come
+        from the select samples in short runs and are never expanded as a whole."""
+        ids = chain(repeat(None, self.missing), (self.first + x for x in self.ids.walk()))
+        start, waiting = 0, []
+        for doc_id, end in zip(ids, self.ends.walk(), strict=True):
+            if waiting and end - waiting[0][1] > read:
+                yield from self._read_all(waiting)
+                waiting = []
+            waiting.append((doc_id, start, end))
+            start = end
+        yield from self._read_all(waiting)
+
+    def _read_all(self, waiting: list[tuple[int | None, int, int]]) -> Iterator[tuple[int | None, int, np.ndarray]]:
+        if waiting:
+            first = waiting[0][1]
+            block = self.read(first, waiting[-1][2])
+            for doc_id, start, end in waiting:
+                yield doc_id, start, block[start - first : end - first]
 
 
 def crc(ids: np.ndarray) -> int:

@@ -12,8 +12,10 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelfwise.llm import backoff, chains, compression, contamination, elias_fano, minhash, packing, topk, urls, warc
@@ -488,6 +490,54 @@ def test_quality(spark, docs, no_docs):
     assert {r["score"] for r in _collect(compression.score(docs, untaught))} == {0.5}
 
 
+def test_quality_against_brute_force(spark):
+    """Sizes, scores and the calibration computed directly; ids labelled both ways and second texts."""
+    rng = np.random.default_rng(5)
+    good, bad = ([f"{p}{i}" for i in range(60)] for p in ("clear", "junk!"))
+    texts = [(i, " ".join(rng.choice(bad if i % 3 else good, 30 + 7 * i))) for i in range(90)] + [(0, " ".join(bad)), (500, "x " * 9000), (501, None)]
+    marks = [(i, 0 if i % 3 else 1) for i in range(90)] + [(500, 0), (500, 1), (501, 1), (None, 1), (7, None), (8, 5)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    model = compression.fit(docs, labels)
+    assert model == compression.fit(docs.where("doc_id < 500"), labels.where("doc_id < 500"))
+
+    packers = [
+        zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False)
+        for d in (model.good, model.bad)
+    ]
+
+    def features(text: str | None) -> list[float]:
+        data = (text or "").encode()
+        cut = [data[i : i + 2048] for i in range(0, len(data), 2048)] or [b""]
+        a, b = (sum(len(c.compress(p)) for p in cut) + 8 for c in packers)
+        return [1.0, np.log(b / a), np.log(a / (len(data) + 8))]
+
+    x = np.array([features(t) for _, t in texts])
+    expected = 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30)))
+    got = sorted((str(r["doc_id"]), r["score"]) for r in _collect(compression.score(docs, model)))
+    assert [g[0] for g in got] == sorted(str(i) for i, _ in texts)
+    assert [g[1] for g in got] == pytest.approx([e for _, e in sorted(zip((str(i) for i, _ in texts), expected.tolist()))], rel=1e-9)
+    # All usable rows are examples here, so the calibration is fitted on them: the gradient is zero.
+    least = {}
+    for i, t in texts:
+        if i < 90 and zlib.crc32(str(i).encode()) % 4 != 2:
+            least[i] = min(t, least.get(i, t))
+    x, y = np.array([features(t) for t in least.values()]), np.array([i % 3 == 0 for i in least], float)
+    p = 1 / (1 + np.exp(-(x @ np.array(model.weights))))
+    assert np.abs(x.T @ (y - p) - 0.05 * np.array(model.weights)).max() < 1e-4
+
+
+def test_pieces_of_whole_texts_are_chosen(spark, monkeypatch):
+    """Without a bound, the pieces are those of the whole texts; with one, the same rule picks some from anywhere."""
+    rows = spark.createDataFrame([(1, bytearray(_text(1, 3000).encode())), (2, bytearray(b"short")), (3, bytearray(b""))], "doc_id long, text binary")
+    every = [bytes(t[i : i + 2048]) for _, t in rows.collect() for i in range(0, max(1, len(t)), 2048)]
+    assert sorted(compression._chosen_pieces(rows)) == sorted(every)
+    monkeypatch.setattr(compression, "PIECES", 5)
+    few = compression._chosen_pieces(rows)
+    assert len(few) == 5 and set(few) <= set(every)
+    assert compression._chosen_pieces(rows.limit(0)) == []
+
+
 def test_archives(spark):
     trap = warc.record(999, "http://x/", b"inner", None, False, "2025-01-01T00:00:00Z").decode()
     rows = [
@@ -540,16 +590,19 @@ def test_urls(spark):
 
 
 def test_url_model_against_brute_force(spark):
-    """Witten-Bell interpolation of the same counts, in plain Python."""
-    accepted, rejected = ["http://a.com/news", "http://b.com/new"], ["http://a.net/es/buy", "http://b.net/fr/buy"]
-    asked = "http://c.org/buy"
-    pages = spark.createDataFrame(list(enumerate([*accepted, *rejected, asked])), "page_id long, url string")
+    """Witten-Bell interpolation of the same counts over whole URLs, in plain Python; calibrated on those held out."""
+    accepted = [f"http://{c}.com/news?p={i}#😀" for i, c in enumerate("abcdefgh")]
+    rejected = [f"https://{c}.net/{k}/buy" for c in "abcdefgh" for k in ("es", "fr")]
+    asked = [*accepted, *rejected, "http://c.org/buy?p=7"]
+    pages = spark.createDataFrame(list(enumerate(asked)), "page_id long, url string")
     ratios = {}
     found = {r["page_id"]: r for r in _collect(urls.judge_urls(pages, order=2))}
+    held = {r["url"] for r in _collect(pages.where(urls.held_out(F.col("url"))))}
+    assert held & set(accepted) and held & set(rejected)
     for name, known in (("allow", accepted), ("block", rejected)):
         counts = defaultdict(Counter)
-        for u in known:
-            text = "\x02\x02" + u.split("://")[1] + "\x03"
+        for u in set(known) - held:
+            text = "\x02\x02" + u + "\x03"
             for i in range(2, len(text)):
                 for k in range(3):
                     counts[text[i - k : i]][text[i]] += 1
@@ -559,17 +612,27 @@ def test_url_model_against_brute_force(spark):
             seen = counts[context]
             return (seen[c] + len(seen) * less) / (seen.total() + len(seen)) if seen else less
 
-        for i, u in enumerate([*accepted, *rejected, asked]):
-            text = "\x02\x02" + u.split("://")[1] + "\x03"
+        for i, u in enumerate(asked):
+            text = "\x02\x02" + u + "\x03"
             ratios.setdefault(i, {})[name] = np.mean([np.log(p(text[j - 2 : j], text[j])) for j in range(2, len(text))])
     raw = {i: r["allow"] - r["block"] for i, r in ratios.items()}
-    a, b = np.array([raw[0], raw[1]]), np.array([raw[2], raw[3]])
-    spread = (a.var() * 2 + b.var() * 2) / 4
+    a, b = (np.array([raw[asked.index(u)] for u in known if u in held]) for known in (accepted, rejected))
+    spread = (a.var() * len(a) + b.var() * len(b)) / (len(a) + len(b))
     slope = (a.mean() - b.mean()) / spread
     for i, r in found.items():
         assert r["score"] == pytest.approx(slope * (raw[i] - (a.mean() + b.mean()) / 2), rel=1e-6)
 
 
+def test_long_url_and_query_strings(spark):
+    """A URL of a million characters is cut in linear time; URLs that differ in their query only get own scores."""
+    known = [f"http://{c}{d}.com/a" for c in "abcdef" for d in "gh"] + [f"http://{c}{d}.net/es/zz" for c in "abcdef" for d in "gh"]
+    rows = [*known, "http://x.org/" + "abc/" * 250_000, "http://x.org/?a", "http://x.org/?zzzz", "HTTP://X.org/?a"]
+    found = {r["page_id"]: r for r in _collect(urls.judge_urls(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")))}
+    n = len(known)
+    assert len(found) == len(rows) and len(found[n]["path"]) == 1_000_001
+    assert found[n + 1]["score"] != found[n + 2]["score"] and found[n + 3]["host"] == "x.org"
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(0, 0.2, 6).tolist()) for i in range(400)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -42,6 +43,46 @@ def test_packing_covers_what_is_left(kept):
     assert len(rows) == kept[4].count() and all(a == b for _, a, b in rows)
 
 
+ODD = "doc_id long, text string, lang string, source string, n_chars long, row long, _odd boolean, _own_id long, spans string"
+
+
+def _odd(spark, texts):
+    rows = [(i, t, "en", "web", len(t or ""), 1, False, 9, "s") for i, t in texts]
+    return spark.createDataFrame(rows, ODD).repartition(3)
+
+
+def _kept(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+
+def test_stages_judge_rows_one_by_one(spark):
+    """Null, repeated and empty rows, and columns whose names clash."""
+    one, two, three = (" ".join(f"{p}{i}" for i in range(120)) for p in "abc")
+    near = one.replace("a60 ", "changed ")
+    docs = _odd(spark, [
+        (1, one), (None, one), (None, near), (None, two), (None, two), (5, three), (5, "quite another text"),
+        (5, "quite another text"), (6, three), (7, None), (None, ""), (8, ""),
+    ])
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns and {r._own_id for r in kept.collect()} == {9}
+    assert _kept(kept) == sorted(
+        [(1, one), (None, two), (5, "quite another text"), (6, three), (7, None), (None, ""), (8, "")], key=str
+    )
+    passage = " ".join(f"p{i}" for i in range(80))
+    docs = _odd(spark, [(1, f"{one} {passage}"), (None, f"{two} {passage}"), (2, f"{passage} {three}"), (2, "x y z"), (3, None), (4, "")])
+    left = corpus_pipeline.substring_dedup(spark, docs, FOLDER)
+    assert left.columns == docs.columns
+    assert _kept(left.withColumn("text", F.trim("text"))) == sorted([(1, f"{one} {passage}"), (None, two), (2, three), (2, "x y z")], key=str)
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 80").orderBy("item_id").first().text
+    docs = _odd(spark, [(None, item), (1, item), (1, one), (None, two), (2, None), (3, ""), (None, two)])
+    clean = corpus_pipeline.decontaminate(spark, docs, FOLDER)
+    assert clean.columns == docs.columns
+    assert _kept(clean) == sorted([(1, one), (None, two), (2, None), (3, "")], key=str)
+    none = docs.limit(0)
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.substring_dedup, corpus_pipeline.decontaminate):
+        assert stage(spark, none, FOLDER).count() == 0
+
+
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
