@@ -125,9 +125,9 @@ def judge_urls(
     texts = rows.groupBy("key").agg(
         F.first("text").alias("text"), F.count_if(F.col("ruled") == "allow").alias("allow"), F.count_if(F.col("ruled") == "block").alias("block")
     )
-    # A number of its own, so that few bytes of URLs, which make many windows, are not merged into one task.
+    # A few bytes of URLs make many windows: a shuffle of its own, whose tasks are not merged for being small.
     tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = texts.repartition(tasks, "key").select("key", "text", "allow", "block", held_out(F.col("text")).alias("held"))
+    texts = texts.repartition(tasks, "text").select("key", "text", "allow", "block", held_out(F.col("text")).alias("held"))
     cut = texts.select("key", "allow", "block", "held", F.explode(windows_of(F.col("text"), order)).alias("window"))
     seen = [F.sum(F.when(~F.col("held"), F.col(c)).otherwise(0)).alias(c) for c in ("allow", "block")]
     windows = stored(cut.groupBy("window").agg(*seen), "windows")
