@@ -76,7 +76,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packed),
 ]
 
-#: Compressed sizes and tokens have no SQL; tests compare the stages with brute force.
+#: Compressed sizes and tokens have no SQL; tests check each stage's rows.
 ORACLE_SQL = None
 
 
