@@ -20,8 +20,11 @@ def _by_row(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFra
     2**62 or more from a hash of their id and text: each text is judged on its own, and rows that also agree
     in their text are one document, of which one row stays.
     """
+    counted = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    again = stored(counted.where("n > 1 or doc_id is null").select("doc_id"), "repeated-ids")
+    if again.isEmpty():
+        return stage(docs)  # every id tells its row already
     own, odd = _free("_own_id", docs.columns), _free("_odd", docs.columns)
-    again = stored(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
     hashed = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).bitwiseOR(F.lit(1 << 62))
     marked = docs.join(again.withColumn(odd, F.lit(True)), "doc_id", "left").withColumn(odd, F.col("doc_id").isNull() | F.col(odd).isNotNull())
     rows = marked.withColumn(own, F.col("doc_id")).withColumn("doc_id", F.when(F.col(odd), hashed).otherwise(F.col("doc_id").cast("long")))
