@@ -38,6 +38,8 @@ GAP_COST = 0.25
 PRICES = (2, 3, 4)  # equal words that pay for a changed one beyond a chain's ends; tried in turn
 DROP = 12  # equal words that a passage's end may fall behind its best
 
+SLICE = 512  # rows of a batch that are worked on at a time
+
 #: A word of a text where texts are compared: 32 bits of its hash. Seeds hash whole ones.
 WORDS = "<u4"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -49,6 +51,52 @@ RUNS = "doc_id long, seed long, place int"
 PASSAGES = "doc_id long, start int, n_words int, source_id long, source_start int, source_words int, matched int"
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch holds 10,000 rows; what is made of them at a time stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            yield batch.slice(i, SLICE)
+
+
+def _lists(column: pa.ListArray) -> tuple[list[int], pa.Array]:
+    """Where each row's entries begin, with the end of the last, and the entries of all rows."""
+    offsets = column.offsets.to_numpy()
+    return (offsets - offsets[0]).tolist(), column.flatten()
+
+
+def _paths(column: pa.ListArray) -> Iterator[list[list[tuple[int, int]]]]:
+    """Each row's chains."""
+    rows, chains = _lists(column)
+    ends, matches = _lists(chains)
+    pairs = list(zip(*(x.to_numpy().tolist() for x in matches.flatten()), strict=True))
+    for a, b in pairwise(rows):
+        yield [pairs[ends[i] : ends[i + 1]] for i in range(a, b)]
+
+
+def _path_lists(rows: list[list[list[tuple[int, int]]]]) -> pa.ListArray:
+    """The column of each row's chains."""
+    chains = [path for row in rows for path in row]
+    pairs = np.array([m for path in chains for m in path], np.int32).reshape(-1, 2)
+    matches = pa.StructArray.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["place", "source_place"])
+    return pa.ListArray.from_arrays(_ends(rows), pa.ListArray.from_arrays(_ends(chains), matches))
+
+
+def _ends(lists: list[list]) -> pa.Array:
+    return pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
+
+
+def _pairs(column: pa.ListArray) -> Iterator[dict[int, list[tuple[int, int]]]]:
+    """Each row's matches by source."""
+    rows, matches = _lists(column)
+    names = [f.name for f in matches.type]
+    source, place, source_place = (matches.field(names.index(n)).to_numpy().tolist() for n in ("source_id", "place", "source_place"))
+    for a, b in pairwise(rows):
+        sources: dict[int, list[tuple[int, int]]] = {}
+        for i in range(a, b):
+            sources.setdefault(source[i], []).append((place[i], source_place[i]))
+        yield sources
+
+
 def minimizers(words: np.ndarray, k: int, neighbours: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, places) of the least of each ``neighbours`` runs of ``k`` words."""
     h = runs(words, k)
@@ -62,7 +110,7 @@ def minimizers(words: np.ndarray, k: int, neighbours: int) -> tuple[np.ndarray,
 
 def _seeds(k: int, neighbours: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sizes, found, short = [], [], []
             for text in batch.column(1):
                 words = hashes(blank_words(text.as_py()))
@@ -91,6 +139,8 @@ def chain(matches: list[tuple[int, int]], k: int = K, gap: int = GAP, cost: floa
     the first text holds the best scores with their starts' costs added; matches that lie too far back in
     the second text are taken out of it.
     """
+    if len(matches) == 1:
+        return [list(matches)]
     order = sorted(set(matches), key=lambda m: (m[1], -m[0]))
     places = sorted({m[0] for m in order})
     n, none = len(places), (0.0, -1)
@@ -145,20 +195,14 @@ def _chains(k: int, gap: int, cost: float):
     """Chains of each pair of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for doc_id, matches in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-                sources: dict[int, list[tuple[int, int]]] = {}
-                for m in matches:
-                    sources.setdefault(m["source_id"], []).append((m["place"], m["source_place"]))
-                for source, pairs in sources.items():
-                    found = chain(pairs, k, gap, cost)
-                    out.append((doc_id, source, [[{"place": p, "source_place": q} for p, q in path] for path in found]))
-            columns = list(zip(*out, strict=True)) or [[]] * 3
-            path = pa.list_(pa.struct([("place", pa.int32()), ("source_place", pa.int32())]))
-            kinds = (pa.int64(), pa.int64(), pa.list_(path))
+        for batch in _slices(batches):
+            ids, sources, found = [], [], []
+            for doc_id, pairs in zip(batch.column(0).to_pylist(), _pairs(batch.column(1)), strict=True):
+                ids += [doc_id] * len(pairs)
+                sources += pairs
+                found += [chain(x, k, gap, cost) for x in pairs.values()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "source_id", "chains"]
+                [pa.array(ids, pa.int64()), pa.array(sources, pa.int64()), _path_lists(found)], names=["doc_id", "source_id", "chains"]
             )
 
     return run
@@ -169,23 +213,24 @@ def _views(k: int, gap: int, cost: float, min_words: int):
     those that are not yet as long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for doc_id, matches, packed in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words = np.frombuffer(packed, WORDS).astype("<u2")
-                sources: dict[int, list[tuple[int, int]]] = {}
-                for m in matches:
-                    sources.setdefault(m["source_id"], []).append((m["place"], m["source_place"]))
-                for source, pairs in sources.items():
-                    found = chain(pairs, k, gap, cost)
-                    spans = ((path[0][0], path[-1][0] + k) for path in found)
-                    views = [None if b - a >= min_words else words[max(0, a - min_words) : b + min_words].tobytes() for a, b in spans]
-                    out.append((doc_id, source, [[{"place": p, "source_place": q} for p, q in path] for path in found], views))
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            path = pa.list_(pa.struct([("place", pa.int32()), ("source_place", pa.int32())]))
-            kinds = (pa.int64(), pa.int64(), pa.list_(path), pa.list_(pa.binary()))
+        for batch in _slices(batches):
+            ids, sources, chains, views = [], [], [], []
+            for doc_id, pairs, packed in zip(batch.column(0).to_pylist(), _pairs(batch.column(1)), batch.column(2), strict=True):
+                words = np.frombuffer(packed.as_buffer(), WORDS).astype("<u2")
+                ids += [doc_id] * len(pairs)
+                sources += pairs
+                for x in pairs.values():
+                    found = chain(x, k, gap, cost)
+                    chains.append(found)
+                    for path in found:
+                        a, b = path[0][0], path[-1][0] + k
+                        views.append(None if b - a >= min_words else words[max(0, a - min_words) : b + min_words].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "source_id", "chains", "views"]
+                [
+                    pa.array(ids, pa.int64()), pa.array(sources, pa.int64()), _path_lists(chains),
+                    pa.ListArray.from_arrays(_ends(chains), pa.array(views, pa.binary())),
+                ],
+                names=["doc_id", "source_id", "chains", "views"],
             )
 
     return run
@@ -202,55 +247,68 @@ def furthest(present: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.where(alive & (bound > 0) & (at <= sizes[:, None]), at, 0).max(1, initial=0)
 
 
+#: Views that are judged at a time, and which words occur on either side of each in the other text.
+REACHED = 64
+_SEEN = np.zeros((2 * REACHED, 1 << 16), bool)
+
+
 def can_reach(views: list[tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]], k: int, min_words: int) -> np.ndarray:
     """Whether the passages around chains can have ``min_words`` words, for (words around the chain, words of the
     other text, chain). Never false where ``align`` finds one: equal words are among those that
     occur in the stretch of the other text that its paths can get to, and it may not pass either end."""
+    out = [_can_reach(views[i : i + REACHED], k, min_words) for i in range(0, len(views), REACHED)]
+    return np.concatenate(out) if out else np.empty(0, bool)
+
+
+def _can_reach(views: list[tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]], k: int, min_words: int) -> np.ndarray:
     wide = min_words + (min_words + DROP) // PRICES[0] + 1  # and as many edits as a path lives through
-    present, sizes = np.zeros((2, len(views), min_words), bool), np.zeros((2, len(views)), np.int64)
-    spans, seen = np.empty(len(views), np.int64), np.zeros(1 << 16, bool)
-    for i, (view, other, path) in enumerate(views):
-        left, end = min(path[0][0], min_words), path[-1][1] + k
-        spans[i] = path[-1][0] + k - path[0][0]
-        sides = (
-            (view[:left][::-1], other[max(0, path[0][1] - wide) : path[0][1]]),
-            (view[left + spans[i] :][:min_words], other[end : end + wide]),
-        )
-        for side, (words, near) in enumerate(sides):
-            near = near.astype("<u2")
-            seen[near] = True
-            present[side, i, : len(words)] = seen[words]
-            seen[near] = False
-            sizes[side, i] = len(words)
-    return spans + furthest(present[0], sizes[0]) + furthest(present[1], sizes[1]) >= min_words
+    first = np.array([path[0] for _, _, path in views], np.int64).reshape(-1, 2)
+    last = np.array([path[-1] for _, _, path in views], np.int64).reshape(-1, 2) + k
+    lengths, spans = np.array([len(view) for view, _, _ in views]), last[:, 0] - first[:, 0]
+    # Rows that repeat an id may hold shorter texts than the chain's.
+    left, right = (np.minimum(np.minimum(first[:, 0], min_words) + x, lengths) for x in (0, spans))
+    starts = np.cumsum(lengths) - lengths
+    words = np.concatenate([*(view for view, _, _ in views), [0]]).astype("<u2")
+    beside = [
+        near.astype("<u2") for (_, other, _), a, b in zip(views, first[:, 1].tolist(), last[:, 1].tolist(), strict=True)
+        for near in (other[max(0, a - wide) : a], other[b : b + wide])
+    ]
+    near, owners = np.concatenate(beside), np.repeat(np.arange(2 * len(views)), list(map(len, beside)))
+    seen = _SEEN[: 2 * len(views)]
+    seen[owners, near] = True
+    at, rows = np.arange(min_words), np.arange(len(views))[:, None]
+    reach = spans
+    for side, sizes, places in (
+        (0, left, (starts + left)[:, None] - 1 - at),
+        (1, np.minimum(lengths - right, min_words), (starts + right)[:, None] + at),
+    ):
+        inside = at < sizes[:, None]
+        reach = reach + furthest(inside & seen[2 * rows + side, words[np.where(inside, places, 0)]], sizes)
+    seen[owners, near] = False
+    return reach >= min_words
 
 
 def _reaching(k: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
-            paths = [[[(m["place"], m["source_place"]) for m in path] for path in row[2]] for row in rows]
-            keep = [[view is None for view in row[3]] for row in rows]
-            asked, places = [], []
-            for i, other in enumerate(batch.column(4)):
+        for batch in _slices(batches):
+            chains = list(_paths(batch.column(2)))
+            ends, views = _lists(batch.column(3))
+            views = views.to_pylist()
+            keep = np.ones(len(views), bool)
+            asked, places, j = [], [], 0
+            for paths, other in zip(chains, batch.column(4), strict=True):
                 b = np.frombuffer(other.as_buffer(), WORDS)
-                for j, view in enumerate(rows[i][3]):
-                    if view is not None:
-                        asked.append((np.frombuffer(view, "<u2"), b, paths[i][j]))
-                        places.append((i, j))
-            for (i, j), ok in zip(places, can_reach(asked, k, min_words).tolist(), strict=True):
-                keep[i][j] = ok
-            out = [
-                (doc_id, source, [path for path, ok in zip(found, oks, strict=True) if ok])
-                for (doc_id, source, found, _), oks in zip(rows, keep, strict=True)
-                if any(oks)
-            ]
-            columns = list(zip(*out, strict=True)) or [[]] * 3
-            path = pa.list_(pa.struct([("place", pa.int32()), ("source_place", pa.int32())]))
-            kinds = (pa.int64(), pa.int64(), pa.list_(path))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "source_id", "chains"]
-            )
+                for path in paths:
+                    if views[j] is not None:
+                        asked.append((np.frombuffer(views[j], "<u2"), b, path))
+                        places.append(j)
+                    j += 1
+            keep[places] = can_reach(asked, k, min_words)
+            keep = keep.tolist()
+            kept = [[path for path, ok in zip(paths, keep[a:b], strict=True) if ok] for paths, (a, b) in zip(chains, pairwise(ends), strict=True)]
+            rows = [i for i, paths in enumerate(kept) if paths]
+            ids = batch.select([0, 1]).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*ids.columns, _path_lists([kept[i] for i in rows])], names=["doc_id", "source_id", "chains"])
 
     return run
 
@@ -270,13 +328,24 @@ def _open_seeds(k: int, neighbours: int, min_words: int):
     reach = min_words - k - edge
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out: set[int] = set()
-            for n_words, seeds, places, shared, spans in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                ok = set(shared)
-                inside = [(x["start"], x["start"] + x["n_words"] - k) for x in spans or ()]
-                left = [p for p in places if p in ok and not any(a <= p <= b for a, b in inside)]
-                for lo, hi in _stretches(places, ok, n_words, k, edge, min_words) if left else ():
+            sizes = batch.column(0).to_pylist()
+            (at, places_), (shared_at, shared_), (span_at, spans) = (_lists(batch.column(i)) for i in (2, 3, 4))
+            places_, seeds_, shared_ = places_.to_numpy(), _lists(batch.column(1))[1].to_numpy(), shared_.to_numpy()
+            starts_, counts_ = (spans.field(i).to_numpy() for i in range(2))
+            for i, n_words in enumerate(sizes):
+                own = places_[at[i] : at[i + 1]]
+                mine = shared_[shared_at[i] : shared_at[i + 1]]
+                starts, ends = (x[span_at[i] : span_at[i + 1]] for x in (starts_, starts_ + counts_ - k))
+                rows = np.argsort(starts, kind="stable")
+                furthest_end = np.concatenate([[-1], np.maximum.accumulate(ends[rows])])
+                covered = furthest_end[np.searchsorted(starts[rows], own, "right")] >= own
+                left = own[np.isin(own, mine) & ~covered].tolist()
+                if not left:
+                    continue
+                ok, places, seeds = set(mine.tolist()), own.tolist(), seeds_[at[i] : at[i + 1]].tolist()
+                for lo, hi in _stretches(places, ok, n_words, k, edge, min_words):
                     for t in left[bisect_left(left, lo + edge) : bisect_right(left, hi + reach)]:
                         a, b = max(lo, t - reach) + edge, min(hi, t - edge) + reach
                         out.update(seeds[bisect_left(places, a) : bisect_right(places, b)])
@@ -289,7 +358,7 @@ def _whole_runs(k: int, neighbours: int, min_words: int):
     """Hashes of the runs of ``min_words`` words with open inner seeds only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             ids, found, at = [], [], []
             for doc_id, n_words, places, ok, packed in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 ranges = _stretches(places, set(ok), n_words, k, neighbours - 1, min_words)
@@ -384,16 +453,15 @@ def found_around(a: list, b: list, path: list[tuple[int, int]], k: int, min_word
 
 def _align(k: int, min_words: int, identity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out, last, b = [], None, []
-            ids = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-            for (doc_id, source, paths), own, other in zip(ids, batch.column(3), batch.column(4), strict=True):
-                a = np.frombuffer(own.as_py(), WORDS).tolist()
-                if other != last:  # rows come by source
-                    last, b = other, np.frombuffer(other.as_py(), WORDS).tolist()
+            ids = (batch.column(i).to_pylist() for i in range(2))
+            for doc_id, source, paths, own, other in zip(*ids, _paths(batch.column(2)), batch.column(3), batch.column(4), strict=True):
+                a = np.frombuffer(own.as_buffer(), WORDS).tolist()
+                if source != last:  # rows come by source
+                    last, b = source, np.frombuffer(other.as_buffer(), WORDS).tolist()
                 for matches in paths:
-                    pairs = ((m["place"], m["source_place"]) for m in matches)
-                    path = [(p, q) for p, q in pairs if p + k <= len(a) and q + k <= len(b)]
+                    path = [(p, q) for p, q in matches if p + k <= len(a) and q + k <= len(b)]
                     if not path:
                         continue
                     for start, end, from_, to, equal in found_around(a, b, path, k, min_words, identity):

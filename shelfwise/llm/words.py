@@ -1,7 +1,7 @@
 """Words of whole texts as 64-bit hashes, for operators that compare sequences of words.
 
-Each distinct word is hashed once per worker; runs of words are then hashed with array
-arithmetic. Hashes are the same in every process.
+Runs of words are hashed with array arithmetic. Hashes are the same in every process. A word is hashed
+each time it occurs: that takes less time than to look it up, and no memory.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Hashes(dict):
+    """Remembered words, for texts of few and long ones; the operators don't use it."""
+
     size = 0
 
     def __missing__(self, word: bytes) -> int:
@@ -29,8 +31,6 @@ class _Hashes(dict):
         return value
 
 
-_HASHES = _Hashes()
-
 _NAMES = bytes(range(256)).lower()
 #: Bytes that end an alphanumeric word: ASCII other than digits and letters.
 _ALNUM = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in _NAMES)
@@ -47,7 +47,7 @@ def alnum_words(text: bytes | None) -> list[bytes]:
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -653,3 +653,32 @@ def test_top_k(spark):
         assert sorted(tuple(r.values()) for r in _collect(topk.top_k(table))) == sorted(expected)
     topk.BLOCK, topk.QUERIES = before
     assert _collect(topk.top_k(table.limit(0))) == []
+
+
+def test_large_batches_are_worked_on_in_slices():
+    """What is made of a batch of matches, and kept of words, stays small."""
+    import pyarrow as pa
+
+    from shelfwise.llm import words
+
+    matches = [[{"source_id": s, "place": p, "source_place": p + s} for s in range(i % 3) for p in range(0, 40, 9)] for i in range(2000)]
+    packed = np.arange(60).astype(chains.WORDS).tobytes()
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "matches": matches, "words": [packed] * 2000})
+    out = list(chains._views(6, 40, 0.25, 50)(iter([batch])))
+    assert max(b.num_rows for b in out) <= 2 * chains.SLICE < 2000
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [(r["doc_id"], r["source_id"]) for r in rows] == [(i, s) for i in range(2000) for s in range(i % 3)]
+    for r in rows:
+        pairs = [(p, p + r["source_id"]) for p in range(0, 40, 9)]
+        assert [[(m["place"], m["source_place"]) for m in path] for path in r["chains"]] == chains.chain(pairs)
+    words.hashes([b"%d" % i for i in range(10_000)])
+    assert not [x for x in vars(words).values() if isinstance(x, dict) and len(x) >= 10_000]
+
+
+def test_reach_of_rows_that_repeat_an_id():
+    """Chains whose places lie beyond the ends of both texts are judged beside others."""
+    text = np.arange(100).astype(chains.WORDS)
+    whole = (text.astype("<u2")[:56], text, [(0, 0)])
+    short = (text.astype("<u2")[:3], text[:2], [(70, 90)])
+    assert chains.can_reach([whole, short, whole], 6, 50).tolist() == [True, False, True]
+    assert chains.can_reach([], 6, 50).tolist() == []
