@@ -394,23 +394,35 @@ def _extend(a: list, b: list, i: int, j: int, step: int, price: int) -> tuple[in
     missing or added one; (words of a, words of b, equal words). Ends once all paths have lost ``DROP``."""
     n, m = (len(a) - i, len(b) - j) if step > 0 else (i + 1, j + 1)
     best, end = 0, (0, 0, 0)
-    reached = {0: (0, 0)}  # by difference of words of b and a: (words of a, equal words)
-    edits = 0
+    reached = {0: 0}  # by difference of words of b and a: words of a, equal words in the lower 32 bits
+    spent = 0
     while reached:
-        on: dict[int, tuple[int, int]] = {}
-        for d, (x, equal) in reached.items():
-            y = x + d
-            while x < n and y < m and a[i + step * x] == b[j + step * y]:
-                x, y, equal = x + 1, y + 1, equal + 1
-            score = equal - price * edits
+        on: dict[int, int] = {}
+        get = on.get
+        for d, code in reached.items():
+            x, equal = code >> 32, code & 0xFFFFFFFF
+            limit = n if n < m - d else m - d
+            if x < limit:
+                p, last = i + step * x, i + step * limit
+                q = p + j - i + step * d
+                while p != last and a[p] == b[q]:
+                    p, q = p + step, q + step
+                run = (p - i) * step - x
+                x, equal = x + run, equal + run
+            score = equal - spent
             if score > best:
-                best, end = score, (x, y, equal)
+                best, end = score, (x, x + d, equal)
             if score <= best - DROP:
                 continue
-            for d2, x2 in ((d, x + 1), (d - 1, x + 1), (d + 1, x)):
-                if x2 <= n and x2 + d2 <= m and on.get(d2, (-1, 0)) < (x2, equal):
-                    on[d2] = x2, equal
-        reached, edits = on, edits + 1
+            code = x << 32 | equal
+            changed = code + (1 << 32)
+            if x < limit and get(d, -1) < changed:
+                on[d] = changed
+            if x < n and get(d - 1, -1) < changed:
+                on[d - 1] = changed
+            if x + d < m and get(d + 1, -1) < code:
+                on[d + 1] = code
+        reached, spent = on, spent + price
     return end
 
 
