@@ -46,7 +46,10 @@ class Encoder:
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.dtype = np.dtype("<u2" if small else "<u4")
         self.spaced = spaced
-        self._model = self.tokenizer.model
+        self._tokenize = self.tokenizer.model.tokenize
+        # The bytes of each id; words of one token share them.
+        ids = range(max(self.tokenizer.get_vocab().values()) + 1)
+        self._bytes = [i.to_bytes(self.dtype.itemsize, "little") for i in ids]
         self._first: dict[str, bytes | None] = _Memo(self, "")
         self._later: dict[str, bytes | None] = _Memo(self, " ") if spaced else self._first
 
@@ -77,24 +80,29 @@ class Encoder:
 
     def word(self, word: str, lead: str, memo: dict[str, bytes | None]) -> bytes | None:
         """Ids of one word, or None if the whole text has to be encoded at once."""
+        if word.isalpha():  # most words; they hold no white space
+            text = word if self.spaced else word.lower()
+            if word.isascii():
+                return self._model(f"Ġ{text}" if lead else text)
+            if max(word) < "Ā":
+                return self._model("".join(map(_ALPHABET.__getitem__, (lead + text).encode())))
+            return self._odd(word, lead)
         if word == "\n" and self.spaced:
             return self.whole(word)
         if not word:
             return None if self.spaced else b""
         if self.spaced and len(word.split()) != 1 or word.strip() != word:
             return None if self.spaced else self.whole(word)
-        if word.isalpha() and (word.isascii() or max(word) < "Ā"):
-            text = word if self.spaced else word.lower()
-            if text.isascii():
-                stand_in = "Ġ" + text if lead else text
-            else:
-                stand_in = "".join(map(_ALPHABET.__getitem__, (lead + text).encode()))
-            return self.pack([token.id for token in self._model.tokenize(stand_in)])
         core = word.rstrip(PUNCTUATION)
         if core and core != word and core.isalpha() and (core.isascii() or max(core) < "Ā"):
             return memo[core] + self._tail(word[len(core):])
         return self._odd(word, lead)
 
+    def _model(self, stand_in: str) -> bytes:
+        """Ids of a word that the vocabulary's model takes as it is."""
+        one = self._bytes
+        return b"".join([one[token.id] for token in self._tokenize(stand_in)])
+
     def _odd(self, word: str, lead: str) -> bytes | None:
         """A word with other characters; it can be cut off only where both its ends are plain."""
         if self.spaced and not (word[0].isprintable() and word[-1].isprintable()):
@@ -114,8 +122,9 @@ class _Memo(dict):
         self.old: dict[str, bytes | None] = {}
 
     def __missing__(self, word: str) -> bytes | None:
-        ids = self.old[word] if word in self.old else self.encoder.word(word, self.lead, self)
-        self.size += ENTRY + 4 * len(word) + len(ids or b"")
+        old = self.old
+        ids = old[word] if word in old else self.encoder.word(word, self.lead, self)
+        self.size += ENTRY + 4 * len(word) + (len(ids) if ids else 0)
         if self.size > MEMO // 2:
             self.old = dict(self)
             self.clear()

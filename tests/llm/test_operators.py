@@ -682,3 +682,15 @@ def test_reach_of_rows_that_repeat_an_id():
     short = (text.astype("<u2")[:3], text[:2], [(70, 90)])
     assert chains.can_reach([whole, short, whole], 6, 50).tolist() == [True, False, True]
     assert chains.can_reach([], 6, 50).tolist() == []
+
+
+def test_words_of_one_token_share_its_bytes():
+    """Words are encoded without an array for each; that of one token is the token's own bytes."""
+    from shelfwise.llm.tokens import Encoder
+
+    for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        encode = Encoder(name, spaced)
+        one = encode._first["the"]
+        assert one is encode._bytes[int.from_bytes(one, "little")] and one == encode.whole("the")
+        for text in ("The naïve Straße costs 12 µs, ﬁne.", "ÀÉ ÿ K Ωmega x" + "yz" * 40, "don't well-known (the) end!"):
+            assert encode.encode(text) == encode.whole(text)
