@@ -39,6 +39,8 @@ PRICES = (2, 3, 4)  # equal words that pay for a changed one beyond a chain's en
 DROP = 12  # equal words that a passage's end may fall behind its best
 
 SLICE = 512  # rows of a batch that are worked on at a time
+ALIGNED = 4096  # chains that are aligned at a time
+FEW = 24  # of them, from which on each is aligned by itself
 
 #: A word of a text where texts are compared: 32 bits of its hash. Seeds hash whole ones.
 WORDS = "<u4"
@@ -240,11 +242,13 @@ def furthest(present: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Per row, how many words ``_extend`` can go on at most at the least price, for rows of words that occur
     near the other text's place or don't; rows hold ``sizes`` words. A word that does not occur costs an
     edit, so no path scores more than here. An end scores more than 0; a path at ``-DROP`` ends, but one just
-    above may make one more edit before equal words follow."""
+    above may make one more edit before equal words follow. One that is not over where a whole row ends may
+    score more beyond it."""
     bound = np.cumsum(np.where(present, np.int32(1), np.int32(-PRICES[0])), 1, np.int32)
     alive = np.logical_and.accumulate(bound > -DROP - PRICES[0], 1)
     at = np.arange(1, present.shape[1] + 1, dtype=np.int32)
-    return np.where(alive & (bound > 0) & (at <= sizes[:, None]), at, 0).max(1, initial=0)
+    goes_on = (bound > 0) | (at == present.shape[1])
+    return np.where(alive & goes_on & (at <= sizes[:, None]), at, 0).max(1, initial=0)
 
 
 #: Views that are judged at a time, and which words occur on either side of each in the other text.
@@ -389,16 +393,18 @@ def _common(a: list, b: list) -> int:
     return row[-1]
 
 
-def _extend(a: list, b: list, i: int, j: int, step: int, price: int) -> tuple[int, int, int]:
+def _extend(
+    a: list, b: list, i: int, j: int, step: int, price: int, state: tuple[dict[int, int], int, int, tuple[int, int, int]] | None = None
+) -> tuple[int, int, int]:
     """Go on from ``(i, j)`` in one direction to the best score: equal words less ``price`` for each changed,
-    missing or added one; (words of a, words of b, equal words). Ends once all paths have lost ``DROP``."""
+    missing or added one; (words of a, words of b, equal words). Ends once all paths have lost ``DROP``; of ends
+    equally good after as many edits, that with the least shift counts. ``state`` goes on from where ``extend_all`` has come to."""
     n, m = (len(a) - i, len(b) - j) if step > 0 else (i + 1, j + 1)
-    best, end = 0, (0, 0, 0)
-    reached = {0: 0}  # by difference of words of b and a: words of a, equal words in the lower 32 bits
-    spent = 0
+    # reached: by difference of words of b and a: words of a, equal words in the lower 32 bits
+    reached, spent, best, end = state or ({0: 0}, 0, 0, (0, 0, 0))
     while reached:
         on: dict[int, int] = {}
-        get = on.get
+        get, before, shift = on.get, best, (0, 0)
         for d, code in reached.items():
             x, equal = code >> 32, code & 0xFFFFFFFF
             limit = n if n < m - d else m - d
@@ -410,9 +416,9 @@ def _extend(a: list, b: list, i: int, j: int, step: int, price: int) -> tuple[in
                 run = (p - i) * step - x
                 x, equal = x + run, equal + run
             score = equal - spent
-            if score > best:
-                best, end = score, (x, x + d, equal)
-            if score <= best - DROP:
+            if score > best or score == best > before and (abs(d), d) < shift:
+                best, end, shift = score, (x, x + d, equal), (abs(d), d)
+            if score <= before - DROP:
                 continue
             code = x << 32 | equal
             changed = code + (1 << 32)
@@ -426,10 +432,72 @@ def _extend(a: list, b: list, i: int, j: int, step: int, price: int) -> tuple[in
     return end
 
 
-def align(a: list, b: list, path: list[tuple[int, int]], k: int, price: int = 2) -> tuple[int, int, int, int, int]:
-    """(start, end, source start, source end, equal words) of the passage around a chain."""
-    back, source_back, equal = _extend(a, b, path[0][0] - 1, path[0][1] - 1, -1, price)
-    i, j = path[0]
+def _equal_runs(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, limits: np.ndarray, step: int) -> np.ndarray:
+    """Equal words from each pair of places on, ``limits`` at most."""
+    out = np.zeros(len(i), np.int64)
+    rows, width = np.flatnonzero(limits > 0), 1
+    while len(rows):
+        left = limits[rows] - out[rows]
+        ahead = np.minimum(np.arange(width), left[:, None] - 1) * step
+        at = (out[rows] * step)[:, None] + ahead
+        differ = a[i[rows][:, None] + at] != b[j[rows][:, None] + at]
+        alike = ~differ.any(1)
+        out[rows] += np.where(alike, np.minimum(width, left), differ.argmax(1))
+        rows, width = rows[alike & (left > width)], min(4 * width, 64)
+    return out
+
+
+def extend_all(
+    a: np.ndarray, b: np.ndarray, own: np.ndarray, other: np.ndarray, i: np.ndarray, j: np.ndarray, step: int, price: int
+) -> np.ndarray:
+    """``_extend`` from many places at a time, as rows (words of a, words of b, equal words). ``a`` and ``b`` hold the
+    words of many texts; ``own`` and ``other`` are where the texts of each place begin and end in them. All paths make
+    their next edit together; the last few, with many edits, go on by themselves."""
+    n, m = (own[:, 1] - i, other[:, 1] - j) if step > 0 else (i - own[:, 0] + 1, j - other[:, 0] + 1)
+    ends, best, spent = np.zeros((len(i), 3), np.int64), np.zeros(len(i), np.int64), 0
+    row = np.arange(len(i))
+    d, x, equal = (np.zeros(len(i), np.int64) for _ in range(3))
+    while len(row):
+        firsts = np.flatnonzero(np.diff(row, prepend=-1))
+        if len(firsts) <= FEW and spent > 0:
+            for lo, hi in pairwise([*firsts.tolist(), len(row)]):
+                r = int(row[lo])
+                (s, e), (s2, e2) = own[r].tolist(), other[r].tolist()
+                reached = dict(zip(d[lo:hi].tolist(), (x[lo:hi] << 32 | equal[lo:hi]).tolist(), strict=True))
+                state = (reached, spent, int(best[r]), tuple(ends[r].tolist()))
+                ends[r] = _extend(a[s:e].tolist(), b[s2:e2].tolist(), int(i[r]) - s, int(j[r]) - s2, step, price, state)
+            break
+        limit = np.minimum(n[row], m[row] - d)
+        run = _equal_runs(a, b, i[row] + step * x, j[row] + step * (x + d), limit - x, step)
+        x, equal = x + run, equal + run
+        score = equal - spent
+        alive = score > best[row] - DROP
+        most = np.maximum.reduceat(score, firsts)
+        better = np.repeat(most > best[row[firsts]], np.diff(firsts, append=len(row)))
+        top = np.flatnonzero(better & (score == np.repeat(most, np.diff(firsts, append=len(row)))))
+        # Of equally good ends, that with the least shift.
+        top = top[np.lexsort((d[top], np.abs(d[top]), row[top]))]
+        top = top[np.flatnonzero(np.diff(row[top], prepend=-1))]
+        best[row[top]] = score[top]
+        ends[row[top]] = np.stack([x[top], x[top] + d[top], equal[top]], 1)
+        row, d, x, equal, limit = row[alive], d[alive], x[alive], equal[alive], limit[alive]
+        code = x << 32 | equal
+        ways = [(x < limit, 0, 1 << 32), (x < n[row], -1, 1 << 32), (x + d < m[row], 1, 0)]
+        keys = np.concatenate([(row[ok] << 32) + d[ok] + shift for ok, shift, _ in ways])
+        codes = np.concatenate([code[ok] + more for ok, _, more in ways])
+        order = np.argsort(keys, kind="stable")
+        keys, codes = keys[order], codes[order]
+        starts = np.flatnonzero(np.diff(keys, prepend=-(1 << 62)))
+        keys = keys[starts]
+        codes = np.maximum.reduceat(codes, starts) if len(starts) else codes
+        row = (keys + (1 << 31)) >> 32
+        d, x, equal, spent = keys - (row << 32), codes >> 32, codes & 0xFFFFFFFF, spent + price
+    return ends
+
+
+def _inside(a: list, b: list, path: list[tuple[int, int]]) -> int:
+    """Equal words from a chain's first match to its last."""
+    equal, (i, j) = 0, path[0]
     for (p, q), (p2, q2) in pairwise(path):
         i, j = max(i, p), max(j, q)
         while i < p2 and j < q2 and a[i] == b[j]:
@@ -437,8 +505,15 @@ def align(a: list, b: list, path: list[tuple[int, int]], k: int, price: int = 2)
         if i < p2 or j < q2:
             equal += _common(a[i:p2], b[j:q2])
         i, j = p2, q2
-    on, source_on, more = _extend(a, b, i, j, 1, price)
-    return path[0][0] - back, i + on, path[0][1] - source_back, j + source_on, equal + more
+    return equal
+
+
+def align(a: list, b: list, path: list[tuple[int, int]], k: int, price: int = 2) -> tuple[int, int, int, int, int]:
+    """(start, end, source start, source end, equal words) of the passage around a chain."""
+    (i, j), (i2, j2) = path[0], path[-1]
+    back, source_back, equal = _extend(a, b, i - 1, j - 1, -1, price)
+    on, source_on, more = _extend(a, b, i2, j2, 1, price)
+    return i - back, i2 + on, j - source_back, j2 + source_on, equal + _inside(a, b, path) + more
 
 
 def found_around(a: list, b: list, path: list[tuple[int, int]], k: int, min_words: int, identity: float) -> list[tuple[int, int, int, int, int]]:
@@ -463,21 +538,92 @@ def found_around(a: list, b: list, path: list[tuple[int, int]], k: int, min_word
     return out
 
 
+Text = tuple[int, int]  # where it begins and ends in an array of many
+
+
+def found_around_all(
+    a: np.ndarray, b: np.ndarray, chains: list[tuple[Text, Text, list[tuple[int, int]]]], k: int, min_words: int, identity: float
+) -> list[list[tuple[int, int, int, int, int]]]:
+    """``found_around`` of many chains (text in ``a``, text in ``b``, path) at a time."""
+    out: list[list[tuple[int, int, int, int, int]]] = [[] for _ in chains]
+    texts = np.array([[*one, *two] for one, two, _ in chains], np.int64).reshape(-1, 4)
+    first = np.array([path[0] for _, _, path in chains], np.int64).reshape(-1, 2) + texts[:, ::2]
+    last = np.array([path[-1] for _, _, path in chains], np.int64).reshape(-1, 2) + texts[:, ::2]
+    asked, inside = np.arange(len(chains)), np.zeros(len(chains), np.int64)
+    again: list[int] = []
+    for price in PRICES:
+        groups = [asked[i : i + ALIGNED] for i in range(0, len(asked), ALIGNED)]
+        asked = np.empty(0, np.int64)
+        for group in groups:
+            own, other, f, g = texts[group, :2], texts[group, 2:], first[group], last[group]
+            back = extend_all(a, b, own, other, f[:, 0] - 1, f[:, 1] - 1, -1, price)
+            on = extend_all(a, b, own, other, g[:, 0], g[:, 1], 1, price)
+            start, end = f - back[:, :2], g + on[:, :2]
+            words = end - start
+            long = words[:, 0] >= min_words
+            if price == PRICES[0]:
+                for r in group[long].tolist():
+                    (s, _), (s2, _), path = chains[r]
+                    if len(path) > 1:
+                        (i, j), (i2, j2) = path[0], path[-1]
+                        moved = [(p - i, q - j) for p, q in path]
+                        inside[r] = _inside(a[s + i : s + i2].tolist(), b[s2 + j : s2 + j2].tolist(), moved)
+            else:
+                again += group[~long].tolist()
+            equal = back[:, 2] + inside[group] + on[:, 2]
+            good = long & (equal >= identity * words.max(1))
+            places = np.concatenate([start - texts[group, ::2], end - texts[group, ::2], equal[:, None]], 1)[good]
+            for r, (x, y, x2, y2, e) in zip(group[good].tolist(), places.tolist(), strict=True):
+                out[r] = [(x, x2, y, y2, e)]
+            asked = np.concatenate([asked, group[long & ~good]])
+    for r in [*again, *asked.tolist()]:
+        (s, e), (s2, e2), path = chains[r]
+        if len(path) > 1:  # as a whole it is long, but not alike enough
+            out[r] = found_around(a[s:e].tolist(), b[s2:e2].tolist(), path, k, min_words, identity)
+    return out
+
+
+def longest(found: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """The passages of two documents that lie in no other one of them; of those in the same place, that
+    with the most equal words. They hold the same words of the document as all of them."""
+    kept: list[tuple[int, int, int, int, int]] = []
+    for x in sorted(found, key=lambda x: (x[0], -x[1], -x[4], x[2:])):
+        if not kept or x[1] > kept[-1][1]:
+            kept.append(x)
+    return kept
+
+
+def _flat(column: pa.BinaryArray) -> tuple[np.ndarray, list[int]]:
+    """Words of all rows, and where each row's begin, with the end of the last."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32 if column.type == pa.binary() else np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data or b"", WORDS, int(ends[-1]) // 4), (ends // 4).tolist()
+
+
 def _align(k: int, min_words: int, identity: float):
+    def found_in(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int, int, int, int]]]:
+        """Each row's passages."""
+        (a, own), (b, other) = (_flat(batch.column(i)) for i in (3, 4))
+        asked, ends = [], [0]
+        for r, paths in enumerate(_paths(batch.column(2))):
+            one, two = (own[r], own[r + 1]), (other[r], other[r + 1])
+            n, m = one[1] - one[0], two[1] - two[0]
+            for matches in paths:
+                path = [(p, q) for p, q in matches if p + k <= n and q + k <= m]
+                if path:
+                    asked.append((one, two, path))
+            ends.append(len(asked))
+        found = found_around_all(a, b, asked, k, min_words, identity)
+        for lo, hi in pairwise(ends):
+            yield [x for part in found[lo:hi] for x in part]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            out, last, b = [], None, []
+            out = []
             ids = (batch.column(i).to_pylist() for i in range(2))
-            for doc_id, source, paths, own, other in zip(*ids, _paths(batch.column(2)), batch.column(3), batch.column(4), strict=True):
-                a = np.frombuffer(own.as_buffer(), WORDS).tolist()
-                if source != last:  # rows come by source
-                    last, b = source, np.frombuffer(other.as_buffer(), WORDS).tolist()
-                for matches in paths:
-                    path = [(p, q) for p, q in matches if p + k <= len(a) and q + k <= len(b)]
-                    if not path:
-                        continue
-                    for start, end, from_, to, equal in found_around(a, b, path, k, min_words, identity):
-                        out.append((doc_id, start, end - start, source, from_, to - from_, equal))
+            for doc_id, source, found in zip(*ids, found_in(batch), strict=True):
+                for start, end, from_, to, equal in longest(found):
+                    out.append((doc_id, start, end - start, source, from_, to - from_, equal))
             columns = list(zip(*out, strict=True)) or [[]] * 7
             names = [c.split()[0] for c in PASSAGES.split(", ")]
             kinds = [pa.int64() if "long" in c else pa.int32() for c in PASSAGES.split(", ")]
@@ -499,7 +645,8 @@ def passages(
     ``neighbours`` + ``k`` words at its ends may be left out. A changed passage without such a run is not found if its every
     seed stands in shorter pieces of still earlier documents. Null, empty and short texts have none;
     rows without an id take no part; rows that repeat an id count as one document; passages
-    repeated only inside one document are not reported; an empty table gives no rows.
+    repeated only inside one document are not reported; an empty table gives no rows. Where chains of the same
+    two documents give passages inside one another, as in repeated lines, that which holds the others is reported.
     """
     # All seeds of a repeated run must lie inside it.
     k = min(k, min_words)

@@ -694,3 +694,62 @@ def test_words_of_one_token_share_its_bytes():
         assert one is encode._bytes[int.from_bytes(one, "little")] and one == encode.whole("the")
         for text in ("The naïve Straße costs 12 µs, ﬁne.", "ÀÉ ÿ K Ωmega x" + "yz" * 40, "don't well-known (the) end!"):
             assert encode.encode(text) == encode.whole(text)
+
+
+def test_one_passage_for_a_block_of_repeated_lines(spark):
+    """Documents that share a line repeated 60 times share one passage, not one for each shift of the lines."""
+    lines = " ".join([" ".join(_text(140, 9).split())] * 60).split()
+    rows = [(i, " ".join([*_text(141 + 2 * i, 20 + i).split(), *lines, *_text(142 + 2 * i, 30).split()])) for i in range(6)]
+    found = _collect(chains.passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted((r["doc_id"], r["start"], r["n_words"], r["source_id"], r["source_start"], r["matched"]) for r in found) == [
+        (i, 20 + i, 540, 0, 20, 540) for i in range(1, 6)
+    ]
+
+
+@given(st.lists(st.tuples(st.integers(0, 10), st.integers(1, 10), st.integers(0, 3), st.integers(1, 9), st.integers(0, 9)), max_size=12))
+def test_longest_passages_hold_the_words_of_all(found):
+    found = [(start, start + n, from_, from_ + m, equal) for start, n, from_, m, equal in found]
+    kept = chains.longest(found)
+    assert {p for x in kept for p in range(x[0], x[1])} == {p for x in found for p in range(x[0], x[1])}
+    assert all(any(y[0] <= x[0] and x[1] <= y[1] for y in kept) for x in found)
+    assert not [(x, y) for x in kept for y in kept if x is not y and x[0] <= y[0] and y[1] <= x[1]]
+
+
+@given(st.integers(0, 10**9), st.integers(0, 40), st.sampled_from([2, 5, 40, 1000]), st.sampled_from([10, 20, 50]), st.sampled_from([0, 1, 24]))
+@settings(deadline=None, max_examples=100)
+def test_chains_aligned_together_and_alone(seed, edits, vocabulary, min_words, few):
+    """Passages around many chains of several texts agree with those around each."""
+    rng = np.random.default_rng(seed)
+    pairs = []
+    for _ in range(rng.integers(1, 4)):
+        a = rng.integers(0, vocabulary, rng.integers(20, 160)).tolist()
+        b = list(a)
+        for _ in range(edits):
+            p = int(rng.integers(0, len(b)))
+            b[p : p + int(rng.integers(0, 2))] = [-1 - int(x) for x in rng.integers(0, 5, rng.integers(0, 2))]
+            b = b or [0]
+        matches = [(p, q) for p in range(len(a) - 2) for q in range(len(b) - 2) if a[p : p + 3] == b[q : q + 3]]
+        matches = [matches[i] for i in rng.permutation(len(matches))[:30]]
+        pairs.append((a, b, [c for c in chains.chain(matches, 3) if c] if matches else []))
+    flat = [np.array([x for pair in pairs for x in pair[i]], np.int64).astype(chains.WORDS) for i in (0, 1)]
+    asked, expected, at = [], [], [0, 0]
+    for a, b, paths in pairs:
+        for path in paths:
+            asked.append(((at[0], at[0] + len(a)), (at[1], at[1] + len(b)), path))
+            expected.append(chains.found_around(a, b, path, 3, min_words, 0.8))
+        at = [at[0] + len(a), at[1] + len(b)]
+    before, chains.FEW = chains.FEW, few
+    try:
+        found = chains.found_around_all(*flat, asked, 3, min_words, 0.8)
+    finally:
+        chains.FEW = before
+    assert found == expected
+
+
+def test_passage_that_scores_beyond_the_words_beside_a_chain():
+    """Of the words beside a chain 20 are looked at; the best end lies beyond them."""
+    alike = "00101100110010100111101111111101110111011101111"
+    a = list(range(56))
+    b = [x if x >= 47 or alike[46 - x] == "1" else 1000 + x for x in a[:53]] + [2000, 2001, 2002]
+    assert chains.found_around(a, b, [(47, 47)], 6, 20, 0.0) == [(0, 53, 0, 53, 38)]
+    assert _can_reach(a, b, [(47, 47)], 6, 20)
