@@ -40,6 +40,7 @@ DROP = 12  # equal words that a passage's end may fall behind its best
 
 SLICE = 512  # rows of a batch that are worked on at a time
 ALIGNED = 4096  # chains that are aligned at a time
+WORDS_AT_ONCE = 1 << 20  # whose seeds are taken at a time
 FEW = 24  # of them, from which on each is aligned by itself
 
 #: A word of a text where texts are compared: 32 bits of its hash. Seeds hash whole ones.
@@ -110,22 +111,48 @@ def minimizers(words: np.ndarray, k: int, neighbours: int) -> tuple[np.ndarray,
     return h[places].view(np.int64), places.astype(np.int32)
 
 
+def minimizers_all(words: np.ndarray, ends: np.ndarray, k: int, neighbours: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``minimizers`` of many texts, whose words begin at ``ends`` and end with the last: (hashes, places, numbers)."""
+    sizes = np.diff(ends)
+    counts = np.maximum(sizes - k + 1, 0)  # runs; fewer than neighbours are one window
+    h = runs(words, k)
+    least, width = np.arange(len(h)), 1
+    while width < neighbours:
+        step = min(width, neighbours - width)
+        one, two = least[: max(len(least) - step, 0)], least[step:]
+        least, width = np.where(h[one] <= h[two], one, two), width + step
+    windows = np.maximum(counts - neighbours + 1, 0)
+    text = np.repeat(np.arange(len(sizes)), windows)
+    found = least[np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows) + ends[text]]
+    first = np.flatnonzero(np.diff(found, prepend=-1))  # windows that follow one another have ascending places
+    found, text = found[first], text[first]
+    few = np.flatnonzero((counts > 0) & (counts < neighbours))
+    alone = np.array([ends[i] + h[ends[i] : ends[i] + counts[i]].argmin() for i in few], np.int64)
+    found, text = np.concatenate([found, alone]), np.concatenate([text, few])
+    order = np.argsort(text, kind="stable")
+    found, text = found[order], text[order]
+    return h[found].view(np.int64), (found - ends[text]).astype(np.int32), np.bincount(text, minlength=len(sizes))
+
+
 def _seeds(k: int, neighbours: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            sizes, found, short = [], [], []
-            for text in batch.column(1):
-                words = hashes(blank_words(text.as_py()))
-                sizes.append(len(words))
-                found.append(minimizers(words, k, neighbours))
-                short.append(words.astype(WORDS).tobytes())
-            offsets = pa.array(np.cumsum([0, *(len(p) for _, p in found)]), pa.int32())
-            flat = [np.concatenate(x) if x else [] for x in zip(*found, strict=True)] or [[], []]
+            texts = [hashes(blank_words(text.as_py())) for text in batch.column(1)]
+            ends = np.cumsum([0, *map(len, texts)])
+            # Some texts are long: as many at a time as hold a million words, or one.
+            cuts = np.unique([0, *np.searchsorted(ends, np.arange(0, ends[-1], WORDS_AT_ONCE)), len(texts)]).tolist()
+            found = [
+                minimizers_all(np.concatenate([*texts[lo:hi], np.empty(0, np.uint64)]), ends[lo : hi + 1] - ends[lo], k, neighbours)
+                for lo, hi in pairwise(cuts)
+            ]
+            flat, places, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+            offsets = pa.array(np.cumsum([0, *counts]), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(sizes, pa.int32()),
-                    pa.ListArray.from_arrays(offsets, pa.array(flat[0], pa.int64())),
-                    pa.ListArray.from_arrays(offsets, pa.array(flat[1], pa.int32())), pa.array(short, pa.binary()),
+                    batch.column(0), pa.array(np.diff(ends), pa.int32()),
+                    pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int64())),
+                    pa.ListArray.from_arrays(offsets, pa.array(places, pa.int32())),
+                    pa.array([x.astype(WORDS).tobytes() for x in texts], pa.binary()),
                 ],
                 names=["doc_id", "n_words", "hashes", "places", "words"],
             )
@@ -155,7 +182,11 @@ def chain(matches: list[tuple[int, int]], k: int = K, gap: int = GAP, cost: floa
         tree[x] = entry
         while x > 1:
             x >>= 1
-            tree[x] = max(tree[2 * x], tree[2 * x + 1])
+            one, two = tree[2 * x], tree[2 * x + 1]
+            most = one if one >= two else two
+            if most == tree[x]:
+                break
+            tree[x] = most
 
     scores, before, old = [0.0] * len(order), [-1] * len(order), 0
     for i, (a, b) in enumerate(order):

@@ -753,3 +753,17 @@ def test_passage_that_scores_beyond_the_words_beside_a_chain():
     b = [x if x >= 47 or alike[46 - x] == "1" else 1000 + x for x in a[:53]] + [2000, 2001, 2002]
     assert chains.found_around(a, b, [(47, 47)], 6, 20, 0.0) == [(0, 53, 0, 53, 38)]
     assert _can_reach(a, b, [(47, 47)], 6, 20)
+
+
+def test_seeds_of_texts_together_and_alone():
+    rng = np.random.default_rng(150)
+    for _ in range(60):
+        sizes = rng.choice([0, 1, 5, 6, 7, 13, 14, 30, 100], rng.integers(1, 9))
+        texts = [rng.integers(0, rng.choice([2, 10**6]), n).astype(np.uint64) for n in sizes]
+        ends = np.cumsum([0, *sizes])
+        for k, neighbours in ((6, 8), (3, 1), (2, 5)):
+            flat, places, counts = chains.minimizers_all(np.concatenate([*texts, np.empty(0, np.uint64)]), ends, k, neighbours)
+            cuts = np.cumsum(counts)[:-1]
+            for text, h, p in zip(texts, np.split(flat, cuts), np.split(places, cuts), strict=True):
+                alone = chains.minimizers(text, k, neighbours)
+                assert h.tolist() == alone[0].tolist() and p.tolist() == alone[1].tolist()
